@@ -53,3 +53,10 @@ def drop_stored(df: DataFrame) -> None:
 def whole_text(column: str = "text"):
     """The text with null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def arrow_batches(spark: SparkSession, rows: int = 400, megabytes: int = 16) -> None:
+    """Bound the Arrow batches that Python workers get, by rows and by bytes:
+    texts can be long, and two workers share an executor's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")

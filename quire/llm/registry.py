@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: query name -> module; the module has a function of the query's name.
 QUERIES = {
+    "op1_secret_scan": "secrets",
     "op10_mix_sources": "mixing",
 }
 #: queries with an exact DuckDB equivalent, in ORACLE of their module.

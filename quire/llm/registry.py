@@ -7,10 +7,11 @@ from importlib import import_module
 #: query name -> module; the module has a function of the query's name.
 QUERIES = {
     "op1_secret_scan": "secrets",
+    "op2_url_filter": "urlfilter",
     "op10_mix_sources": "mixing",
 }
 #: queries with an exact DuckDB equivalent, in ORACLE of their module.
-WITH_SQL = ("op10_mix_sources",)
+WITH_SQL = ("op2_url_filter", "op10_mix_sources")
 
 
 def _bound(name: str):

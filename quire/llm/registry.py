@@ -8,6 +8,7 @@ from importlib import import_module
 QUERIES = {
     "op1_secret_scan": "secrets",
     "op2_url_filter": "urlfilter",
+    "op7_byte_bpe": "bpe",
     "op10_mix_sources": "mixing",
 }
 #: queries with an exact DuckDB equivalent, in ORACLE of their module.

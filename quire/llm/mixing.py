@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 
 #: Fixed share of the one large source; the others share the rest evenly.
 DEFAULT_WEIGHTS = {"src0": 0.10}
@@ -102,6 +102,7 @@ def replicate(
         F.col("source").alias("__mix_source"),
         F.when(F.col("rate") < 700, F.col("cdf")).otherwise(F.raise_error("repetition rate above 700")).alias("__mix_cdf"),
     )
+    rates = stored(rates, "rates")  # a known size: the join can be planned without moving texts first
     base = docs.drop("copy", "mix_key")
     u = unit_hash(seed, F.col(f"`{id_col}`"))
     counted = base.join(rates, src.eqNullSafe(F.col("__mix_source")))

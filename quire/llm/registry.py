@@ -9,6 +9,7 @@ QUERIES = {
     "op1_secret_scan": "secrets",
     "op2_url_filter": "urlfilter",
     "op7_byte_bpe": "bpe",
+    "op8_fingerprints": "fingerprint",
     "op9_warc": "warc",
     "op10_mix_sources": "mixing",
 }

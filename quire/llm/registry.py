@@ -8,6 +8,7 @@ from importlib import import_module
 QUERIES = {
     "op1_secret_scan": "secrets",
     "op2_url_filter": "urlfilter",
+    "op3_language_id": "langid",
     "op6_quality_rules": "quality_rules",
     "op7_byte_bpe": "bpe",
     "op8_fingerprints": "fingerprint",

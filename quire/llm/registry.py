@@ -9,6 +9,7 @@ QUERIES = {
     "op1_secret_scan": "secrets",
     "op2_url_filter": "urlfilter",
     "op3_language_id": "langid",
+    "op4_quality_cnn": "quality_cnn",
     "op6_quality_rules": "quality_rules",
     "op7_byte_bpe": "bpe",
     "op8_fingerprints": "fingerprint",

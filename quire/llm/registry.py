@@ -10,6 +10,7 @@ QUERIES = {
     "op2_url_filter": "urlfilter",
     "op3_language_id": "langid",
     "op4_quality_cnn": "quality_cnn",
+    "op5_near_duplicates": "neardup",
     "op6_quality_rules": "quality_rules",
     "op7_byte_bpe": "bpe",
     "op8_fingerprints": "fingerprint",

@@ -141,6 +141,8 @@ def train(texts: Sequence[str], langs: Sequence[str]) -> Model:
     names = sorted(set(langs))
     if len(names) > MAX_LANGS:
         raise ValueError(f"{len(names)} languages; the model is sized for {MAX_LANGS}")
+    if not names:
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((OTHER + 1, 0), bool))
     number = {n: i for i, n in enumerate(names)}
     counts = np.zeros((BUCKETS, len(names)))
     letters = np.zeros((OTHER + 1, len(names)))
@@ -156,19 +158,18 @@ def train(texts: Sequence[str], langs: Sequence[str]) -> Model:
     total = np.maximum(counts.sum(axis=0), 1)
     counts *= total.mean() / total
     seen = max(1, int((counts.sum(axis=1) > 0).sum()))
-    logs = np.log((counts + ALPHA) / (counts.sum(axis=0) + ALPHA * seen)) if names else counts
-    logs -= logs.mean(axis=1, keepdims=True) if names else 0
+    logs = np.log((counts + ALPHA) / (counts.sum(axis=0) + ALPHA * seen))
+    logs -= logs.mean(axis=1, keepdims=True)
     logs[counts.sum(axis=1) == 0] = 0
     scripts = letters / np.maximum(letters.sum(axis=0), 1) >= SCRIPT_SHARE
     model = Model(names, np.clip(logs, -CLIP, CLIP).astype(np.float32), scripts)
-    if names:
-        right = np.zeros(len(LEADS))
-        for i in range(0, len(texts), 200):
-            for shares, first, truth in zip(*coverage(model, texts[i : i + 200])[:2], label[i : i + 200], strict=True):
-                if shares is not None:
-                    for k, lead in enumerate(LEADS):
-                        right[k] += pick(shares, first, lead) == truth
-        model.lead = LEADS[int(right.argmax())]
+    right = np.zeros(len(LEADS))
+    for i in range(0, len(texts), 200):
+        for shares, first, truth in zip(*coverage(model, texts[i : i + 200])[:2], label[i : i + 200], strict=True):
+            if shares is not None:
+                for k, lead in enumerate(LEADS):
+                    right[k] += pick(shares, first, lead) == truth
+    model.lead = LEADS[int(right.argmax())]
     return model
 
 

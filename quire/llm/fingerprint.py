@@ -65,12 +65,14 @@ def settled(digests: DataFrame) -> DataFrame:
     task is shuffled to find the representative, and the comparison is a join
     whose hot keys Spark can split.
     """
+    names = [c for c in digests.columns if c != "form"]
     shared = digests.where("form is not null")
     heads = shared.groupBy("fingerprint").agg(F.min_by("form", F.struct("id", "form")).alias("__head"))
-    out = digests.join(stored(heads, "heads"), "fingerprint", "left")
-    clash = F.col("form").isNotNull() & (F.col("form") != F.col("__head"))
+    both = shared.join(stored(heads, "heads"), "fingerprint")
+    clash = F.col("form") != F.col("__head")
     final = F.when(clash, F.concat_ws("-", "fingerprint", F.sha2("form", 256))).otherwise(F.col("fingerprint"))
-    return out.withColumn("fingerprint", final).drop("form", "__head").select([c for c in digests.columns if c != "form"])
+    both = both.withColumn("fingerprint", final)
+    return digests.where("form is null").select(names).unionByName(both.select(names))
 
 
 def duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

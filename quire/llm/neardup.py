@@ -122,7 +122,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     if late.limit(1).count():
         up = lambda c: F.coalesce(f"r{c}", c).alias(c)
         lifted = late.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(roots.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left")
-        over = stored(components(lifted.select(up("a"), up("b"))), "over").withColumnsRenamed({"node": "root", "root": "__over"})
+        over = stored(components(lifted.select(up("a"), up("b"))), "over").select(F.col("node").alias("root"), F.col("root").alias("__over"))
         everyone = roots.unionByName(late.select(F.col("a").alias("node")).union(late.select("b")).distinct().join(roots, "node", "left_anti").withColumn("root", F.col("node")))
         roots = stored(everyone.join(over, "root", "left").select("node", F.coalesce("__over", "root").alias("root")), "roots")
 

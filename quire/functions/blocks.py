@@ -61,13 +61,13 @@ is_float = TEXT.has(r"(?i)^<(?:table|figure)[\s>]")
 has_caption_tag = TEXT.lower().has("<caption")
 
 # ---- affiliations (on visible text)
-_last = TEXT.extract(r"([^,]*)\z")
+_last = TEXT.extract(r"(?s)^(?:.*,)?([^,]*)\z")
 has_place_tail = _last.has(rf"^{WS}*\p{{Lu}}\S*(?:{WS}+(?:\p{{Lu}}\S*|[oO][fF])){{0,3}}{WS}*\z")
 ends_with_country = _last.sub(r"\b\d[\d-]*\b").strip().lower().isin(COUNTRIES)
 _INSTITUTION = r"department|universit[\p{L}\p{N}_]*|institut[\p{L}\p{N}_]*|laborato[\p{L}\p{N}_]*|college|hospital|faculty|academy|polytechnic|school\s+of"
 has_institution = TEXT.has(rf"(?i)\b(?:{_INSTITUTION})\b")
 opens_institution = TEXT.has(rf"(?i)^(?:the\s+)?(?:{_INSTITUTION}|centers?\s+for|centres?\s+for|division\s+of)\b")
-has_postal_tail = TEXT.extract(r"([^,]*,[^,]*)\z").has(r"\b\d{4,6}\b")
+has_postal_tail = TEXT.extract(r"(?s)^(?:.*,)?([^,]*,[^,]*)\z").has(r"\b\d{4,6}\b")
 is_affiliation = every(
     TEXT.length() <= 300,
     TEXT.count(",") >= 2,

@@ -75,11 +75,11 @@ class Rule:
 
     # text to number
     def length(self) -> Rule:
-        return self._then(F.length, lambda s: f"length({s})", len)
+        return self._then(lambda c: F.length(c).cast("long"), lambda s: f"length({s})", len)
 
     def count(self, pattern: str) -> Rule:
         return self._then(
-            lambda c: F.regexp_count(c, F.lit(pattern)),
+            lambda c: F.regexp_count(c, F.lit(pattern)).cast("long"),
             lambda s: f"len(regexp_extract_all({s}, {quoted(pattern)}))",
             lambda t: sum(1 for _ in compiled(pattern).finditer(t)),
         )

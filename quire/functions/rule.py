@@ -6,8 +6,8 @@ and a Python function (``rule(text)``), for the few operators that work on a
 whole document at a time.  Patterns keep to what the three regular expression
 engines share: no look-around, no back-references, ``\\z`` for the end.
 
-Null is "not applicable": it passes through text operations, and every test of
-it is false.
+Null is "not applicable": it passes through text operations, and a test of it
+is false (so its negation is true).
 """
 
 from __future__ import annotations

@@ -9,8 +9,9 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from .errors import ConversionError, ReaderUnavailable
-from .plans.document import parse_documents
-from .sources import pdf, reader, transcripts
+from .plans.document import inline_sink, parse_documents
+from .plans.recovery import pages_to_read
+from .sources import pdf, reader, sinks, transcripts
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -20,6 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("output", type=Path, nargs="?", help="default: the input with the suffix .html")
     parser.add_argument("--reader-url", help="root of the page reader's interface")
     parser.add_argument("--reader-model")
+    parser.add_argument("--image-dir", type=Path, help="write figures there instead of into the HTML")
     args = parser.parse_args(argv)
     if not args.input.is_file():
         parser.error(f"not found: {args.input}")
@@ -32,14 +34,15 @@ def main(argv: list[str] | None = None) -> int:
             reader.Reader.connect(args.reader_url, args.reader_model)
             source = spark.read.format(pdf.NAME).load(args.input.resolve().as_uri()).persist()
             url, model = args.reader_url, args.reader_model
-            read = reader.read_pages(source, lambda: reader.Reader.connect(url, model))
-            pages = source.withColumnRenamed("text", "layer").join(read, ["doc_id", "page_no"])
+            read = reader.read_pages(pages_to_read(source), lambda: reader.Reader.connect(url, model))
+            pages = source.withColumnRenamed("text", "layer").join(read, ["doc_id", "page_no"], "left")
             failed = read.where("error is not null").first()
             if failed:
                 raise ReaderUnavailable(failed["error"]) if failed["disposition"] == "retry" else ConversionError(failed["error"])
         else:
             pages = transcripts.read_transcripts(spark, args.input.resolve().as_uri())
-        done = parse_documents(pages).first()
+        sink = sinks.folder_sink(args.image_dir.resolve().as_uri()) if args.image_dir else inline_sink
+        done = parse_documents(pages, sink=sink).first()
     except ConversionError as e:
         print(f"error: {e}", file=sys.stderr)
         return 1

@@ -207,11 +207,13 @@ def document_doi(layer: str | None, md: str | None) -> str | None:
     return B.doi(layer or "") or B.doi(md or "")
 
 
-def parse_documents(pages: DataFrame, known: Dictionary = no_words, *, sink: Sink = inline_sink) -> DataFrame:
+def parse_documents(pages: DataFrame, known: Dictionary = no_words, *, sink: Sink = inline_sink, connect: Callable[[], pixels.Reader] | None = None) -> DataFrame:
     """``doc_id, html, title, byline, doi`` for a relation of pages: ``doc_id,
     page_no, md`` and, where there are any, ``layer`` (embedded text) and
     ``width, height, pixels`` (the raster, for figures). Null markdown is an
-    empty page; extra columns are ignored; a document without text is empty."""
+    empty page; extra columns are ignored; a document without text is empty.
+    ``connect`` makes a reader of image regions, for captions that were drawn
+    into figures; without it their run lengths decide."""
     optional = {"layer": "string", "width": "int", "height": "int", "pixels": "binary"}
     have = {c: F.col(c) if c in pages.columns else F.lit(None) for c in optional}
     rows = pages.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page_no").cast("int").alias("page_no"), F.coalesce("md", F.lit("")).alias("md"), *[have[c].cast(t).alias(c) for c, t in optional.items()])
@@ -222,10 +224,11 @@ def parse_documents(pages: DataFrame, known: Dictionary = no_words, *, sink: Sin
         running = L.recurring_lines(layers)
         mds = [L.reconciled(r["md"], x, running) for r, x in zip(own, layers, strict=True)]
         start = article_start(mds)
+        read = connect() if connect and any(r["pixels"] for r in own) else None
         blocks: list[list[str]] = []
         for r, md in list(zip(own, mds, strict=True))[start:]:
             image = np.frombuffer(r["pixels"], np.uint8).reshape(r["height"], r["width"], -1) if r["pixels"] else None
-            blocks.append(page_html(md, image, sink, None, known, sum(b.startswith("<figure><img") for p in blocks for b in p)))
+            blocks.append(page_html(md, image, sink, read, known, sum(b.startswith("<figure><img") for p in blocks for b in p)))
         done = assemble(blocks, known)
         doi = document_doi(layers[start], mds[start])
         return pa.table({"doc_id": [own[0]["doc_id"]], "html": [done.html], "title": [done.title], "byline": [done.byline], "doi": pa.array([doi], pa.string())})

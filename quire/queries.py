@@ -501,6 +501,62 @@ def merge_paragraphs(spark, sf_dir):
     return rows.groupBy("page").applyInArrow(one, "page bigint, seq int, html string")
 
 
+@query()
+def render_inline(spark, sf_dir):
+    """Every line of every document with its math and inline markdown rendered."""
+    import pyarrow as pa
+
+    from .functions import markdown
+
+    lines = R.split_lines(table(spark, sf_dir, "documents"), "source", "doc_id").select("page", "block_no", "line")
+
+    def run(batches):
+        for b in batches:
+            yield b.set_column(2, "line", pa.array(list(map(markdown.render_inline, b.column(2).to_pylist())), pa.string()))
+
+    return lines.mapInArrow(run, "page bigint, block_no int, line string")
+
+
+@query()
+def reconcile_pages(spark, sf_dir):
+    """Every document as a page whose odd blocks lost their last three words,
+    put back from the whole text."""
+    import pyarrow as pa
+
+    from .functions import layout
+
+    cut = lambda b, i: F.when(i % 2 == 1, F.regexp_replace(b, r"(?:\s+\S+){3}\z", "")).otherwise(b)
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(F.split("text", "\n"), cut), "\n\n").alias("md"), "text")
+
+    def run(batches):
+        for b in batches:
+            done = [layout.reconciled(md, text, set()) for md, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(done), pa.array([len(d) for d in done], pa.int64())], names=["doc_id", "md", "n_chars"])
+
+    return rows.mapInArrow(run, "doc_id bigint, md string, n_chars bigint")
+
+
+@query()
+def figure_crops(spark, sf_dir):
+    """Figures of pages drawn from order lines: how large their crops are."""
+    import numpy as np
+    import pyarrow as pa
+
+    from .functions import pixels
+
+    def run(batches):
+        for b in batches:
+            sizes = []
+            for r in b.to_pylist():
+                page = np.full((800, 800), 255, np.uint8)
+                page[r["y0"] : r["y1"], r["x0"] : r["x1"]] = 0
+                crop = pixels.cropped(page, (r["x0"] + 5, r["y0"] + 5, r["x1"] - 5, r["y1"] - 5), "Fig. 1. Drawn" if r["k"] % 2 else None)
+                sizes.append((0, 0) if crop is None else crop.shape)
+            yield pa.RecordBatch.from_arrays([b.column("page"), b.column("k"), *(pa.array([s[i] for s in sizes], pa.int32()) for i in (1, 0))], names=["page", "k", "width", "height"])
+
+    return _boxes(spark, sf_dir).where("k = 1").mapInArrow(run, "page bigint, k int, width int, height int")
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source's lines without running headers, footers and page numbers."""
     return strip_furniture(spark, sf_dir)

@@ -128,6 +128,12 @@ class Reader:
         self.context, self.in_flight = fresh.context, fresh.in_flight
         return self
 
+    def __enter__(self) -> Reader:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        """Nothing stays open between requests."""
+
     def delay(self, failure: HttpFailure, attempt: int) -> float:
         """Seconds to the next attempt: what the service asks for, within a
         limit, or a doubling wait with jitter."""

@@ -13,7 +13,7 @@ from quire import errors
 from quire.functions import layout as L
 from quire.functions import pixels as X
 from quire.plans import recovery as V
-from quire.sources import pdf, reader, transcripts
+from quire.sources import pdf, reader, serve, sinks, transcripts
 from quire.streaming import ingest
 
 
@@ -287,3 +287,26 @@ def test_command_line(spark, tmp_path, capsys):
             pdf.library()
         except errors.BadInput:
             assert cli.main([str(tmp_path / "a.pdf")]) == 1 and "error:" in capsys.readouterr().err
+
+
+def test_service():
+    server = serve.serve(lambda data, most: (f"{len(data) > 50} {most}", 10, most if most == 7 else 3), context=500)
+    try:
+        with reader.Reader.connect(f"http://127.0.0.1:{server.server_address[1]}/v1") as r:
+            assert r.context == 500 and r.read(image(shape=(4, 4))) == "True 2048"
+            assert r.post(base64.b64encode(b"x").decode(), 7)[1:] == ("length", 10)
+            for bad in ("", "%%%"):
+                with pytest.raises(errors.ReaderUnavailable):
+                    r.post(bad, 5)
+    finally:
+        server.shutdown()
+    with pytest.raises(errors.ReaderUnavailable):
+        reader.Reader.connect(f"http://127.0.0.1:{server.server_address[1]}/v1", transport=lambda *a: reader.http("http://127.0.0.1:9/", None, 1))
+
+
+def test_sinks(spark, tmp_path):
+    put = sinks.folder_sink((tmp_path / "figs").as_uri())
+    assert put(b"png", "image/png", 3) == "figs/fig_003.png" and (tmp_path / "figs" / "fig_003.png").read_bytes() == b"png"
+    docs = spark.createDataFrame([("a/b", "<p>é</p>"), ("c", "")], "doc_id string, html string")
+    sinks.write_html(docs, (tmp_path / "out").as_uri()).collect()
+    assert (tmp_path / "out" / "a_b.html").read_text("utf-8") == "<p>é</p>" and (tmp_path / "out" / "c.html").read_text() == ""

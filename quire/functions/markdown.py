@@ -8,17 +8,17 @@ the delimiter rules, escapes, entities, raw tags, breaks, links and images.
 from __future__ import annotations
 
 import html
+import re
+import unicodedata
 from functools import lru_cache
 
-import regex
-
 from . import blocks as B
 from . import latex
 from .words import Dictionary, join_lines, no_words
 
 _PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
-_TAG = regex.compile(r"""<(?:/[A-Za-z][\w-]*\s*|[A-Za-z][\w-]*(?:\s+[A-Za-z_:][\w.:-]*(?:\s*=\s*(?:[^\s"'=<>`]+|'[^']*'|"[^"]*"))?)*\s*/?|!--.*?--|![A-Z][^>]*|\?.*?\?)>""", regex.DOTALL)
-_ENTITY = regex.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
+_TAG = re.compile(r"""<(?:/[A-Za-z][\w-]*\s*|[A-Za-z][\w-]*(?:\s+[A-Za-z_:][\w.:-]*(?:\s*=\s*(?:[^\s"'=<>`]+|'[^']*'|"[^"]*"))?)*\s*/?|!--.*?--|![A-Z][^>]*|\?.*?\?)>""", re.DOTALL)
+_ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 
 
 def _escape(text: str) -> str:
@@ -28,7 +28,7 @@ def _escape(text: str) -> str:
 def _flank(before: str, after: str) -> tuple[bool, bool]:
     """Whether a run of delimiters opens from the left, and closes to the right."""
     space = lambda c: not c or c.isspace()
-    mark = lambda c: bool(c) and (c in _PUNCTUATION or regex.match(r"[\p{P}\p{S}]", c) is not None)
+    mark = lambda c: bool(c) and (c in _PUNCTUATION or unicodedata.category(c)[0] in "PS")
     left = not space(after) and (not mark(after) or space(before) or mark(before))
     right = not space(before) and (not mark(before) or space(after) or mark(after))
     return left, right
@@ -50,18 +50,18 @@ def inline(text: str, *, full: bool = False) -> str:
         elif c == "<" and (m := _TAG.match(text, i)):
             out.append(m[0])
             i = m.end()
-        elif full and c == "<" and (m := regex.match(r"<([A-Za-z][A-Za-z0-9+.-]{1,31}:[^\s<>]*)>", text[i:])):
+        elif full and c == "<" and (m := re.match(r"<([A-Za-z][A-Za-z0-9+.-]{1,31}:[^\s<>]*)>", text[i:])):
             out.append(f'<a href="{_escape(m[1])}">{_escape(m[1])}</a>')
             i += m.end()
         elif c == "&" and (m := _ENTITY.match(text, i)):
             out.append(_escape(html.unescape(m[0])))
             i = m.end()
-        elif full and c == "`" and (m := regex.match(r"(`+)(?!`)(.*?[^`])\1(?!`)", text[i:], regex.DOTALL)):
+        elif full and c == "`" and (m := re.match(r"(`+)(?!`)(.*?[^`])\1(?!`)", text[i:], re.DOTALL)):
             code = m[2].replace("\n", " ")
             code = code[1:-1] if code.strip() and code[0] == code[-1] == " " else code
             out.append(f"<code>{_escape(code)}</code>")
             i += m.end()
-        elif full and c in "![" and (m := regex.match(r'(!?)\[((?:[^\[\]\\]|\\.)*)\]\(\s*<?([^\s<>()]*)>?(?:\s+"([^"]*)")?\s*\)', text[i:])):
+        elif full and c in "![" and (m := re.match(r'(!?)\[((?:[^\[\]\\]|\\.)*)\]\(\s*<?([^\s<>()]*)>?(?:\s+"([^"]*)")?\s*\)', text[i:])):
             title = f' title="{_escape(m[4])}"' if m[4] else ""
             if m[1]:
                 out.append(f'<img src="{_escape(m[3])}" alt="{_escape(m[2])}"{title} />')
@@ -130,12 +130,12 @@ def render_inline(text: str) -> str:
 def caption(text: str) -> str:
     """A caption's HTML: a break behind its bold title if a legend follows."""
     out = inline(text)
-    m = regex.match(r"(?s)^(<strong>.*?</strong>(?:\s+<strong>.*?</strong>)*)\s+((?!<strong>)\S.*)$", out)
+    m = re.match(r"(?s)^(<strong>.*?</strong>(?:\s+<strong>.*?</strong>)*)\s+((?!<strong>)\S.*)$", out)
     return f"{m[1]}<br>{m[2]}" if m and B.opens_caption(m[1]) else out
 
 
 def render_cells(table: str) -> str:
-    return regex.sub(r"(?is)(<t[dh]\b[^>]*>)(.*?)(</t[dh]>)", lambda m: m[1] + render_inline(m[2]) + m[3], table)
+    return re.sub(r"(?is)(<t[dh]\b[^>]*>)(.*?)(</t[dh]>)", lambda m: m[1] + render_inline(m[2]) + m[3], table)
 
 
 def reflow(inner: str, known: Dictionary = no_words) -> list[str]:
@@ -157,9 +157,9 @@ def reflow(inner: str, known: Dictionary = no_words) -> list[str]:
 
 
 _HTML_BLOCK = r"(?i)^ {0,3}(?:</?(?:address|article|aside|blockquote|body|br|caption|center|col|colgroup|dd|details|dialog|dir|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|iframe|legend|li|link|main|menu|nav|ol|option|p|param|section|summary|table|tbody|td|tfoot|th|thead|title|tr|ul)(?:\s|/?>|$)|<!--|<(?:script|pre|style|textarea)(?:\s|>|$))"
-_ITEM = regex.compile(r"^( {0,3})([-+*]|\d{1,9}[.)])( +|$)(.*)$")
-_RULE = regex.compile(r"^ {0,3}(?:(?:\*[ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$")
-_ALIGN = regex.compile(r"^\s*\|?\s*:?-+:?\s*(?:\|\s*:?-+:?\s*)*\|?\s*$")
+_ITEM = re.compile(r"^( {0,3})([-+*]|\d{1,9}[.)])( +|$)(.*)$")
+_RULE = re.compile(r"^ {0,3}(?:(?:\*[ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$")
+_ALIGN = re.compile(r"^\s*\|?\s*:?-+:?\s*(?:\|\s*:?-+:?\s*)*\|?\s*$")
 
 
 def _row(line: str) -> list[str]:
@@ -167,7 +167,7 @@ def _row(line: str) -> list[str]:
     line = line.removeprefix("|")
     if line.endswith("|") and not line.endswith("\\|"):
         line = line[:-1]
-    return [c.strip().replace("\\|", "|") for c in regex.split(r"(?<!\\)\|", line)]
+    return [c.strip().replace("\\|", "|") for c in re.split(r"(?<!\\)\|", line)]
 
 
 def _table(lines: list[str]) -> str:
@@ -205,12 +205,12 @@ def elements(text: str) -> list[str]:
         line = lines[i]
         if not line.strip():
             i += 1
-        elif m := regex.match(r"^ {0,3}(#{1,6})(?:[ \t]+(.*?))?(?:[ \t]+#+)?[ \t]*$", line):
+        elif m := re.match(r"^ {0,3}(#{1,6})(?:[ \t]+(.*?))?(?:[ \t]+#+)?[ \t]*$", line):
             out.append(f"<h{len(m[1])}>{inline(m[2] or '', full=True)}</h{len(m[1])}>")
             i += 1
-        elif m := regex.match(r"^ {0,3}(`{3,}|~{3,})\s*([^`\s]*)[^`]*$", line):
+        elif m := re.match(r"^ {0,3}(`{3,}|~{3,})\s*([^`\s]*)[^`]*$", line):
             j = i + 1
-            while j < len(lines) and not regex.match(rf"^ {{0,3}}{m[1][0]}{{{len(m[1])},}}\s*$", lines[j]):
+            while j < len(lines) and not re.match(rf"^ {{0,3}}{m[1][0]}{{{len(m[1])},}}\s*$", lines[j]):
                 j += 1
             kind = f' class="language-{_escape(m[2])}"' if m[2] else ""
             out.append(f"<pre><code{kind}>" + "".join(_escape(x) + "\n" for x in lines[i + 1 : j]) + "</code></pre>")
@@ -218,7 +218,7 @@ def elements(text: str) -> list[str]:
         elif _RULE.match(line):
             out.append("<hr />")
             i += 1
-        elif regex.match(_HTML_BLOCK, line):
+        elif re.match(_HTML_BLOCK, line):
             j = i
             while j < len(lines) and lines[j].strip():
                 j += 1
@@ -228,25 +228,25 @@ def elements(text: str) -> list[str]:
             j = i
             while j < len(lines) and lines[j].strip():
                 j += 1
-            inner = "\n".join(regex.sub(r"^ {0,3}> ?", "", x) for x in lines[i:j])
+            inner = "\n".join(re.sub(r"^ {0,3}> ?", "", x) for x in lines[i:j])
             out.append("<blockquote>\n" + "\n".join(elements(inner)) + "\n</blockquote>")
             i = j
         elif (m := _ITEM.match(line)) and m[4]:
             i = _take_list(lines, i, m, out)
         elif "|" in line and i + 1 < len(lines) and _ALIGN.match(lines[i + 1]) and "|" in lines[i + 1] and len(_row(line)) == len(_row(lines[i + 1])):
             j = i + 2
-            while j < len(lines) and lines[j].strip() and not regex.match(_HTML_BLOCK, lines[j]):
+            while j < len(lines) and lines[j].strip() and not re.match(_HTML_BLOCK, lines[j]):
                 j += 1
             out.append(_table(lines[i:j]))
             i = j
         else:
             j = i + 1
             while j < len(lines) and lines[j].strip() and not _interrupts(lines[j]):
-                if regex.match(r"^ {0,3}(?:=+|-+)[ \t]*$", lines[j]):
+                if re.match(r"^ {0,3}(?:=+|-+)[ \t]*$", lines[j]):
                     break
                 j += 1
             body = "\n".join(x.strip(" ") if k == j - 1 else x.lstrip(" ") for k, x in enumerate(lines[i:j], i))
-            if j < len(lines) and (m := regex.match(r"^ {0,3}(=+|-+)[ \t]*$", lines[j])):
+            if j < len(lines) and (m := re.match(r"^ {0,3}(=+|-+)[ \t]*$", lines[j])):
                 level = 1 if m[1][0] == "=" else 2
                 out.append(f"<h{level}>{inline(body, full=True)}</h{level}>")
                 j += 1
@@ -259,11 +259,11 @@ def elements(text: str) -> list[str]:
 def _interrupts(line: str) -> bool:
     item = _ITEM.match(line)
     return bool(
-        regex.match(r"^ {0,3}#{1,6}(?:[ \t]|$)", line)
-        or regex.match(r"^ {0,3}(?:`{3,}|~{3,})", line)
-        or (_RULE.match(line) and not regex.match(r"^ {0,3}-+[ \t]*$", line))
-        or regex.match(_HTML_BLOCK, line)
-        or regex.match(r"^ {0,3}>", line)
+        re.match(r"^ {0,3}#{1,6}(?:[ \t]|$)", line)
+        or re.match(r"^ {0,3}(?:`{3,}|~{3,})", line)
+        or (_RULE.match(line) and not re.match(r"^ {0,3}-+[ \t]*$", line))
+        or re.match(_HTML_BLOCK, line)
+        or re.match(r"^ {0,3}>", line)
         or (item and item[4] and (not item[2][0].isdigit() or item[2][:-1] == "1"))
     )
 

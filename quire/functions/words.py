@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
-import regex
-
 from .vocabulary import SOLID_PREFIXES
 
 #: Tells whether a lower-case word is in the dictionary.
@@ -38,9 +37,9 @@ def join_lines(left: str, right: str, known: Dictionary = no_words) -> str:
     """Two fragments as one: a space between them, or the halves of a word that
     a line break cut, with or without its hyphen."""
     right = right.lstrip()
-    cut = regex.search(r"-\s*$", left)
+    cut = re.search(r"-\s*$", left)
     if not cut:
         return f"{left.rstrip()} {right}"
     stem = left[: cut.start()]
-    halves = (regex.search(r"[A-Za-z]*$", stem)[0], regex.match(r"[A-Za-z]*", right)[0])
+    halves = (re.search(r"[A-Za-z]*$", stem)[0], re.match(r"[A-Za-z]*", right)[0])
     return stem + ("-" if keeps_hyphen(*halves, known) else "") + right

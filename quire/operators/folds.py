@@ -9,12 +9,11 @@ them in a grouped map, one document at a time.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-import regex
-
 from ..functions import blocks as B
 from ..functions import tables as T
 from ..functions.vocabulary import MARKERS
@@ -166,7 +165,7 @@ class Sections:
 
 def is_degenerate(text: str) -> bool:
     """Eight or more words, six in ten of them the same."""
-    words = regex.findall(r"\w+", B.visible(text))
+    words = re.findall(r"\w+", B.visible(text))
     return len(words) >= 8 and Counter(words).most_common(1)[0][1] >= 0.6 * len(words)
 
 
@@ -271,7 +270,7 @@ def split_unlabelled_abstract(body: Sequence[str]) -> tuple[Blocks, Blocks]:
 
 def split_citation(abstract: Sequence[str]) -> tuple[Blocks, Blocks]:
     """The last ``© year ...`` tail of the last abstract paragraph, if prose precedes it."""
-    m = regex.match(r"(?is)^(<p[^>]*>)(.*)(\s*©\s*\d{4}\b.*?)(</p>)\s*$", abstract[-1]) if abstract else None
+    m = re.match(r"(?is)^(<p[^>]*>)(.*)(\s*©\s*\d{4}\b.*?)(</p>)\s*$", abstract[-1]) if abstract else None
     if m is None or not m[2].strip():
         return list(abstract), []
     return [*abstract[:-1], m[1] + m[2].rstrip() + m[4]], [f"<p>{m[3].strip()}</p>"]
@@ -356,7 +355,7 @@ def without_furniture(parts: Sequence[str]) -> Blocks:
     seen = [(k, p) for p in parts if (k := B.furniture_candidate(p)) is not None]
     count = Counter(k for k, _ in seen)
     verbatim = Counter(B.furniture_verbatim(p) for _, p in seen)
-    prose = {k for k, p in seen if B.is_plain_paragraph(p)} | {k for k, p in seen if regex.search(r"\d", v := B.furniture_verbatim(p)) and verbatim[v] > 1}
+    prose = {k for k, p in seen if B.is_plain_paragraph(p)} | {k for k, p in seen if re.search(r"\d", v := B.furniture_verbatim(p)) and verbatim[v] > 1}
     loose = {k for k, p in seen if not B.furniture_sentence(p)}
     running = {k for k, n in count.items() if n > 1 and k in prose and (k in loose or n >= 3)}
     return [p for p in parts if B.furniture_candidate(p) not in running and not B.is_page_number(p)]

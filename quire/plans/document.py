@@ -9,12 +9,12 @@ evenly, and no step needs two documents together.
 from __future__ import annotations
 
 import html
+import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +49,11 @@ class Block:
 
 def _strip_echo(caption: str, following: str) -> str:
     """The caption without a last clause that repeats the next heading."""
-    heading = regex.match(r"^#{1,6}\s+(.*)$", following.strip())
-    tail = regex.search(r"[.!?]\s+([^.!?]+?)\s*$", caption.rstrip())
+    heading = re.match(r"^#{1,6}\s+(.*)$", following.strip())
+    tail = re.search(r"[.!?]\s+([^.!?]+?)\s*$", caption.rstrip())
     if not heading or not tail:
         return caption
-    said, head = (set(regex.findall(r"\w+", x.lower())) for x in (tail[1], heading[1]))
+    said, head = (set(re.findall(r"\w+", x.lower())) for x in (tail[1], heading[1]))
     return caption.rstrip()[: tail.start(1)].rstrip() if len(said) >= 3 and len(said - head) <= 1 else caption
 
 

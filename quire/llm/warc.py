@@ -441,3 +441,18 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
         "record_type",
         number("refers_to").alias("refers_to"),
     )
+
+
+#: Base32 in SQL: five hexadecimal digits are four characters.
+_GROUPS = " || ".join(
+    f"list_aggregate(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {5 * g + 1}, 5))::INTEGER >> s) & 31), 1)), 'string_agg', '')"
+    for g in range(8)
+)
+ORACLE = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, {_GROUPS} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""

@@ -111,6 +111,17 @@ def test_members_that_stars_leave_apart_are_compared(spark):
     assert got[len(texts) - 1] == got[len(texts) - 2] == len(texts) - 2
 
 
+def test_sketches_tell_similarity():
+    base = sentence(400)
+    texts = [" ".join(edited(base, n)).encode() for n in (0, 4, 8, 16, 30, 400)]
+    words = N.bit_sketches(texts)
+    found = D.shingles(texts)
+    for i in range(1, len(texts)):
+        differ = sum(int(x ^ y).bit_count() for x, y in zip(words[0].view(np.uint64), words[i].view(np.uint64)))
+        want = N.BITS * (1 - D.similarity(found, 0, found, i)[0]) / 2
+        assert abs(differ - want) < 5 * (N.BITS / 4) ** 0.5
+
+
 def test_edge_rows(spark):
     d = docs(spark, [(5, "a b c d e f"), (5, "a b c d e f"), (9, "a b c d e f"), (None, "a b c d e f"), (None, None)]).withColumn("class_id", N.F.lit(0))
     got = sorted(((r["doc_id"], r["class_id"]) for r in N.near_duplicates(d).collect()), key=repr)

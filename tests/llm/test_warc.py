@@ -5,7 +5,7 @@ import hashlib
 from quire.llm import warc as W
 from quire.llm.common import new_path
 
-from .helpers import table
+from .helpers import same_as_sql, table
 
 PAGES = "page_id bigint, url string, html string, record_type string"
 
@@ -88,3 +88,16 @@ def test_query_on_table(spark, sf):
         again = first[d] != r["page_id"]
         want.add((r["page_id"], len((r["html"] or "").encode()), d, "revisit" if again else "response", first[d] if again else None))
     assert {tuple(r) for r in W.op9_warc(spark, sf).collect()} == want
+
+
+def test_query_matches_sql(spark, sf):
+    same_as_sql(W.op9_warc(spark, sf), W.ORACLE, sf)
+
+
+def test_sql_knows_revisits(spark, tmp_path):
+    rows = [(5, "u", "same"), (2, "u", "same"), (9, "u", None), (4, "u", ""), (7, "u", "é")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"file://{tmp_path}/pages.parquet")
+    file = next((tmp_path / "pages.parquet").glob("*.parquet"))
+    (tmp_path / "flat").mkdir()
+    file.rename(tmp_path / "flat" / "pages.parquet")
+    same_as_sql(W.op9_warc(spark, str(tmp_path / "flat")), W.ORACLE, str(tmp_path / "flat"), ("pages",))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .rule import TEXT, WS, Rule, either, every
 from .vocabulary import (
     BANNER_LABELS,
@@ -260,19 +262,30 @@ has_boilerplate = TEXT.has(r"(?i)©|doi\.org|https?://|www\.|downloaded from|lic
 # ---- DOIs
 _DOI = r"(?i)(?:^|\D)(10\.\d{4,9}/[-._;()/:A-Za-z0-9]+)"
 has_doi = TEXT.has(_DOI)
-# trailing punctuation goes, then unmatched closing brackets with theirs, innermost last
-_doi = TEXT.extract(_DOI).sub(r"[.,;:]+\z")
+# punctuation at the end goes, and so do closing brackets beyond those that are open
+_found = TEXT.extract(_DOI)
+_core = _found.sub(r"[).,;:]+\z")
+_tail = _found.extract(r"([).,;:]*)\z")
+_open, _shut = _core.count(r"\("), _core.count(r"\)")
+
+
+def _brackets_col(c):
+    kept = F.greatest(F.least(_open.col(c) - _shut.col(c), _tail.count(r"\)").col(c)), F.lit(0)).cast("int")
+    return F.concat(_core.col(c), F.when(kept > 0, F.concat(F.call_function("substring_index", _tail.col(c), F.lit(")"), kept), F.lit(")"))).otherwise(""))
+
+
+def _brackets_sql(s):
+    tail = _tail.sql(s)
+    kept = f"greatest(least({_open.sql(s)} - {_shut.sql(s)}, {_tail.count(chr(92) + ')').sql(s)}), 0)"
+    return f"{_core.sql(s)} || CASE WHEN {kept} > 0 THEN array_to_string(list_slice(string_split({tail}, ')'), 1, {kept}), ')') || ')' ELSE '' END"
 
 
-def _closed(rule: Rule, times: int = 6) -> Rule:
-    for _ in range(times):
-        extra = rule.has(r"\)\z") & Rule(
-            lambda c, r=rule: r.count(r"\)").col(c) > r.count(r"\(").col(c),
-            lambda s, r=rule: f"({r.count(chr(92) + ')').sql(s)} > {r.count(chr(92) + '(').sql(s)})",
-            lambda t, r=rule: r.count(r"\)").py(t) > r.count(r"\(").py(t),
-        )
-        rule = rule.sub(r"\)[.,;:]*\z").sub(r"[.,;:]+\z").where(extra).otherwise(rule)
-    return rule
+def _brackets_py(text):
+    if text is None:
+        return None
+    parts = _tail(text).split(")")
+    kept = max(0, min(_open(text) - _shut(text), len(parts) - 1))
+    return _core(text) + (")".join(parts[:kept]) + ")" if kept else "")
 
 
-doi = _closed(_doi, 2).where(has_doi)
+doi = Rule(_brackets_col, _brackets_sql, _brackets_py).where(has_doi)

@@ -20,7 +20,7 @@ BLOCKS = (
     "<p>© 2019 The Author(s). All rights reserved.</p>", "<p>Biotechnology and Food 601</p>", "<p>Biotechnology and Food 602</p>", "<p>Clark</p>", "<p>42</p>", "<h3>1234</h3>",
     "<p>ATP: energy, NADH: carrier, all the rest</p>", "<p>this shows that, with the</p>", "<p>we looked at the</p>", "<p>TRII was found</p>", "<p>mTOR was found</p>", "<p>• item</p>", "<p>(a) item</p>",
     "<p>[1] Smith J. A paper.</p>", "<p>12. Smith J. A paper.</p>", "<p>continued in lower case</p>", '<ol start="3">\n<li>\n<p>x</p>\n</li>\n</ol>', "<p>see 10.1000/xyz(12)34). And more</p>",
-    "<p>https://doi.org/10.5555/12345678.</p>", "<p>1910.12345/no</p>", "![image](image_1.png)10,20,300,400", "![image](image_1.png)", "![alt](x.png)10,20\nFig. 1 Caption", "FIG. 2.", "**Figure 7**", "(A)", "B.",
+    "<p>https://doi.org/10.5555/12345678.</p>", "<p>1910.12345/no</p>", "<p>10.1234/a(b(c)).)).,</p>", "<p>x 10.1234/(a.).; y</p>", "![image](image_1.png)10,20,300,400", "![image](image_1.png)", "![alt](x.png)10,20\nFig. 1 Caption", "FIG. 2.", "**Figure 7**", "(A)", "B.",
     "(A) The first panel", "(a) no panel", "## Heading", "| a | b |", "<tr><td>x</td></tr>", "text\n# heading", "†note", "Growth of cells**", "Growth of cells.", "the quick brown fox", "", " ", "Ünïcode Title Here",
     "# 1. Introduction\ntext", "## <b>Abstract</b>", "Table 3. In markdown", "Figure 12: words", "Fig 5 (A) and", "fig 6 shows",
 )

@@ -51,6 +51,7 @@ def test_nulls():
 def test_dois():
     assert B.doi("see https://doi.org/10.1234/ab.c(5).") == "10.1234/ab.c(5)"
     assert B.doi("(doi:10.1234/ab).") == "10.1234/ab"
+    assert B.doi("10.1234/a(b(c)).)).,") == "10.1234/a(b(c))" and B.doi("10.1234/ab)))))") == "10.1234/ab" and B.doi("10.1234/(a.).;") == "10.1234/(a.)"
     assert B.doi("110.1234/ab") is None and B.doi("10.12/ab") is None
 
 

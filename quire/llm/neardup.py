@@ -4,17 +4,21 @@
    keys of its signature; texts are not moved.
 2. Rows with equal words form a group, led by the smallest id; only leaders go
    on, so thousands of copies are one candidate.
-3. Leaders that share a band key meet the smallest leader there (a star, not
-   all pairs), and each such pair is compared exactly.
-4. Members of a bucket that the stars leave in different components are
-   compared, too, unless their distances from the bucket's head rule a link
-   out (weighted Jaccard distance is a metric), so no link is lost to the
-   stars.
+3. Leaders that share a band key meet one head there, the leader with most
+   company over all its bands, and each is compared with it exactly: a star,
+   not all pairs. In a group of edited copies of one text that is the text, or
+   a copy close to it, which most others are near.
+4. Members of a bucket that the stars leave in different components meet each
+   other, but only pairs that can still be links go on to the comparison: whose
+   distances from the head agree with one (weighted Jaccard distance is a
+   metric), and whose one-bit sketches agree often enough. So no link is lost
+   to the stars.
 5. Components of the links are the classes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +33,9 @@ from .dartminhash import bands, pieces, shingles, signatures, similarity
 #: Similarity from which two texts are linked; coordinates, and those in a
 #: band. A pair at the threshold shares a band with probability 0.99995.
 THRESHOLD, COORDINATES, ROWS = 0.8, 125, 5
+#: Bits of the sketch that screens step 4, and standard deviations that a pair
+#: at the threshold may fall short of its expected agreement.
+BITS, DEVIATIONS = 1024, 4.5
 
 
 def signed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES, rows: int = ROWS) -> DataFrame:
@@ -83,6 +90,55 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
+def bit_sketches(raw: list[bytes], bits: int = BITS) -> np.ndarray:
+    """(text, bits / 64): a high bit of each dart's number, as the low ones
+    tell its coordinate."""
+    found = signatures(shingles(raw), bits, seed=2) >> np.uint64(40) & np.uint64(1)
+    return np.packbits(found.astype(np.uint8), axis=1).view(np.int64)
+
+
+def sketched(texts: DataFrame) -> DataFrame:
+    """``id, sketch``: one bit of each of ``BITS`` further coordinates, as
+    64-bit numbers. Two sketches differ in a bit with half the probability that
+    the coordinates do."""
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column("text").cast(pa.binary()).to_pylist()
+            for a, b in pieces([len(r) for r in raw], 256 << 10):
+                words = bit_sketches(raw[a:b])
+                yield pa.RecordBatch.from_arrays([batch.column("id")[a:b], pa.array(list(words), pa.list_(pa.int64()))], names=["id", "sketch"])
+
+    return texts.mapInArrow(run, f"id {kind}, sketch array<bigint>")
+
+
+def unresolved(buckets: DataFrame, stars: DataFrame, roots: DataFrame, groups: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: pairs in a bucket, in different components, not yet compared,
+    that may be links. A pair comes once, from the first band that it shares."""
+    member = buckets.where("n > 2 and leader <> head").join(stars.withColumnsRenamed({"a": "leader", "b": "head"}), ["leader", "head"])
+    member = member.join(roots.withColumnRenamed("node", "leader"), "leader", "left").withColumn("root", F.coalesce("root", "leader"))
+    member = stored(member.select("band", "key", "leader", "root", "similarity"), "members")
+    apart = member.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band", "key")
+    member = stored(member.join(stored(apart, "apart"), ["band", "key"], "left_semi"), "members")
+    ids = stored(member.select(F.col("leader").alias("id")).distinct(), "ids")
+    marks = sketched(texts.join(ids, "id", "left_semi")).withColumnRenamed("id", "leader").join(groups.select("leader", "bands"), "leader")
+    member = stored(member.join(stored(marks, "sketches"), "leader"), "members")
+    side = lambda s: member.select("band", "key", *[F.col(c).alias(f"{c}_{s}") for c in ("leader", "root", "similarity", "sketch", "bands")])
+    differ = sum((F.bit_count(F.get("sketch_a", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+    chance = (1 - threshold) / 2
+    most = math.ceil(BITS * chance + DEVIATIONS * math.sqrt(BITS * chance * (1 - chance)))
+    first = ~F.exists(F.filter(F.arrays_zip("bands_a", "bands_b"), lambda x, i: i < F.col("band")), lambda x: x["bands_a"] == x["bands_b"])
+    pairs = side("a").join(side("b"), ["band", "key"]).where(
+        (F.col("leader_a") > F.col("leader_b"))
+        & (F.col("root_a") != F.col("root_b"))
+        & (F.abs(F.col("similarity_a") - F.col("similarity_b")) <= 1 - threshold + 1e-9)
+        & (differ <= most)
+        & first
+    )
+    return pairs.select(F.col("leader_a").alias("a"), F.col("leader_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, coordinates: int = COORDINATES, rows: int = ROWS) -> DataFrame:
     """``id, class_id`` of every row: the smallest id of its class.
 
@@ -97,8 +153,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     worded = sigs.where("bands is not null and id is not null")
     groups = stored(worded.groupBy("digest").agg(F.min("id").alias("leader"), F.first("bands").alias("bands")), "groups")  # equal words, equal bands
     banded = groups.select("leader", F.posexplode("bands").alias("band", "key"))
-    heads = banded.groupBy("band", "key").agg(F.min("leader").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "key", "head", "n")
-    buckets = stored(banded.join(stored(heads, "heads"), ["band", "key"]).select("band", "key", "head", "n", "leader"), "buckets")
+    sizes = banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = stored(banded.join(stored(sizes, "sizes"), ["band", "key"]).select("band", "key", "n", "leader"), "buckets")
+    company = stored(buckets.groupBy("leader").agg(F.sum("n").alias("company")), "company")
+    heads = buckets.join(company, "leader").groupBy("band", "key").agg(F.min_by("leader", F.struct((-F.col("company")).alias("company"), "leader")).alias("head"))
+    buckets = stored(buckets.join(stored(heads, "heads"), ["band", "key"]).select("band", "key", "n", "leader", "head"), "buckets")
     star = stored(buckets.where("leader <> head").select(F.col("leader").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
     ids = stored(star.select(F.col("a").alias("id")).union(star.select("b")).distinct(), "ids")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), whole_text(f"`{text_col}`").alias("text"))
@@ -107,17 +166,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     near = stars.where(F.col("similarity") >= threshold).select("a", "b")
     roots = stored(components(near), "roots")
 
-    # what the stars leave apart within a bucket
-    member = buckets.where("n > 2 and leader <> head").join(stars.withColumnsRenamed({"a": "leader", "b": "head"}), ["leader", "head"])
-    member = member.join(roots.withColumnRenamed("node", "leader"), "leader", "left").withColumn("root", F.coalesce("root", "leader"))
-    apart = member.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band", "key")
-    member = stored(member.join(stored(apart, "apart"), ["band", "key"]).select("band", "key", "leader", "root", "similarity"), "members")
-    width = 1.0 - threshold
-    cell = F.floor(F.col("similarity") / width)
-    one = member.select("band", "key", cell.alias("cell"), F.col("leader").alias("a"), F.col("root").alias("ra"), F.col("similarity").alias("sa"))
-    two = member.select("band", "key", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"), F.col("leader").alias("b"), F.col("root").alias("rb"), F.col("similarity").alias("sb"))
-    rest = one.join(two, ["band", "key", "cell"]).where((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")) & (F.abs(F.col("sa") - F.col("sb")) <= width + 1e-9))
-    rest = stored(rest.select("a", "b").distinct(), "rest")
+    rest = stored(unresolved(buckets, stars, roots, groups, texts, threshold).distinct(), "rest")
     late = stored(compared(rest, texts).where(F.col("similarity") >= threshold), "late")
     if late.limit(1).count():
         up = lambda c: F.coalesce(f"r{c}", c).alias(c)

@@ -51,7 +51,7 @@ NAME = "quire_warc"
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = "2024-01-01T00:00:00Z"
-FILE_BYTES, PARTITION_BYTES, HEAD_BYTES, BATCH_BYTES = 1 << 30, 128 << 20, 4096, 8 << 20
+FILE_BYTES, PARTITION_BYTES, HEAD_BYTES, BATCH_BYTES = 256 << 20, 128 << 20, 4096, 8 << 20
 
 READ_SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, refers_to string, "

@@ -18,7 +18,7 @@ QUERIES = {
     "op10_mix_sources": "mixing",
 }
 #: queries with an exact DuckDB equivalent, in ORACLE of their module.
-WITH_SQL = ("op2_url_filter", "op9_warc", "op10_mix_sources")
+WITH_SQL = ("op1_secret_scan", "op2_url_filter", "op9_warc", "op10_mix_sources")
 
 
 def _bound(name: str):

@@ -51,7 +51,7 @@ RULES: tuple[Rule, ...] = (
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0, 0, ("gh",)),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0, 0, ("xox",)),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 0, 0, ("eyJ",)),
-    Rule("basic_auth", 1, r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@", 0, 0, 0, ("://",)),
+    Rule("basic_auth", 1, r"[a-z][a-z0-9+.-]*://[^\x00-\x20:/@]+:[^\x00-\x20:/@]+@", 0, 0, 0, ("://",)),
 )
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("version", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]))
@@ -191,3 +191,35 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = findings(docs, scan(docs))
     out = redact(docs, found)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def _sql_pattern(rule: Rule) -> str:
+    """The pattern with either case of ASCII letters written out."""
+    if not rule.flags & re.I:
+        return rule.pattern
+    head, close, rest = rule.pattern.partition(")")
+    return re.sub(r"[a-z]", lambda m: f"[{m[0]}{m[0].upper()}]", head) + close + rest
+
+
+def _sql_matches(rank: int, rule: Rule) -> str:
+    pattern = "'" + _sql_pattern(rule).replace("'", "''") + "'"
+    length = lambda values: f"coalesce(list_sum(list_transform({values}, lambda x: length(x))), 0)"
+    return (
+        f"SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, ({length('parts[1:i]')} + {length('found[1:i - 1]')})::BIGINT AS start, found[i] AS hit "
+        f"FROM (SELECT doc_id, regexp_extract_all(t, {pattern}) AS found, string_split_regex(t, {pattern}) AS parts FROM d), unnest(range(1, len(found) + 1)) AS r(i) "
+        f"WHERE length(regexp_extract(found[i], {pattern}, {rule.group})) >= {rule.least}"
+    )
+
+
+def _sql_spans(where: str = "") -> str:
+    return f"string_agg(kind || ':' || start || ':' || (start + length(hit)), ',' ORDER BY start, rank){where}"
+
+
+_BASE_SQL = " FILTER (kind IN ('" + "', '".join(BASE_KINDS) + "'))"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(_sql_matches(i, r) for i, r in enumerate(RULES))}),
+s AS (SELECT doc_id, {_sql_spans()} AS spans, {_sql_spans(_BASE_SQL)} AS base, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE_KINDS)} FROM m GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE_KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+"""

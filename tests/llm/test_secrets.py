@@ -3,7 +3,7 @@ import re
 
 from quire.llm import secrets as S
 
-from .helpers import docs, rows_of, table
+from .helpers import docs, rows_of, same_as_sql, table
 
 ASSIGN = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -72,3 +72,15 @@ def test_stage_replaces_secrets(spark, sf):
     got = {r["doc_id"]: r for r in S.stage(spark, d, sf).collect()}
     assert got[1]["text"] == "é <assign> <access> end" and got[1]["n_chars"] == len(got[1]["text"])
     assert got[2]["text"] is None and got[3]["text"] == "clean"
+
+
+def test_query_matches_sql(spark, sf):
+    same_as_sql(S.op1_secret_scan(spark, sf), S.ORACLE, sf)
+
+
+def test_sql_agrees_on_hard_texts(spark, tmp_path):
+    texts = [*CASES, "-----BEGIN RSA PRIVATE KEY----- eyJhbGciOiJI.eyJzdWIiOiIx.abc xoxb-1234567890-x ghp_" + "Z" * 36 + " ftp://u:p@h x://:y@"]
+    docs(spark, list(enumerate(texts))).coalesce(1).write.parquet(f"file://{tmp_path}/documents.parquet")
+    (tmp_path / "flat").mkdir()
+    next((tmp_path / "documents.parquet").glob("*.parquet")).rename(tmp_path / "flat" / "documents.parquet")
+    same_as_sql(S.op1_secret_scan(spark, str(tmp_path / "flat")), S.ORACLE, str(tmp_path / "flat"), ("documents",))

@@ -91,6 +91,14 @@ def bounds_of(docs: DataFrame, id_col: str, parts: int) -> list:
     return sorted(set(found or []))
 
 
+def places_of(spark, parts: int, buckets: int) -> list[int]:
+    """A number for each bucket whose hash sends it to a partition of its own:
+    by their bare numbers several would share one, and others stay empty."""
+    tried = spark.range(40 * parts).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("part"))
+    found = {r["part"]: r["id"] for r in tried.groupBy("part").agg(F.min("id").alias("id")).collect()}  # one per partition
+    return [found.get(b % parts, b) for b in range(buckets)]
+
+
 def successive(docs: DataFrame, flagged: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
     """``bucket, tail, id, text`` so that each bucket holds a range of ids and,
     with ``tail`` set, the first row of the following range (of the first
@@ -103,8 +111,13 @@ def successive(docs: DataFrame, flagged: DataFrame, id_col: str, text_col: str,
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), whole_text(f"`{text_col}`").alias("text"))
     bounds = bounds_of(rows, "id", parts)
     if bounds:
+        # bounds up to the id, counted in whole blocks first, so the work per row grows with the square root of their number
+        size = max(1, round(len(bounds) ** 0.5))
+        below = lambda values: F.size(F.filter(values, lambda b: b <= F.col("id")))
         cuts = F.array(*[F.lit(b) for b in bounds])
-        bucket = F.when(F.col("id").isNull(), 0).otherwise(F.size(F.filter(cuts, lambda b: b <= F.col("id"))))
+        blocks = F.array(*[F.lit(b) for b in bounds[size - 1 :: size]])
+        counted = F.transform(F.array(below(blocks) * size), lambda n: n + below(F.slice(cuts, n + 1, size)))[0]
+        bucket = F.when(F.col("id").isNull(), 0).otherwise(counted)
     else:
         bucket = F.lit(0)
     rows = rows.withColumn("bucket", bucket.cast("int"))
@@ -121,8 +134,8 @@ def successive(docs: DataFrame, flagged: DataFrame, id_col: str, text_col: str,
     places = F.concat(F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("tail"))), F.transform(serves, lambda b: F.struct(b.alias("bucket"), F.lit(True).alias("tail"))))
     placed = rows.select("id", "text", F.explode(places).alias("at")).select("at.bucket", "at.tail", "id", "text")
     flags = flagged.select(bucket.cast("int").alias("bucket"), F.lit(False).alias("tail"), "id", F.lit(None).cast("string").alias("text"))
-    both = placed.unionByName(flags)
-    return both.repartition(parts, "bucket").sortWithinPartitions("bucket", "tail", F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    both = placed.unionByName(flags).withColumn("place", at(places_of(rows.sparkSession, parts, len(bounds) + 1), "bigint"))
+    return both.repartition(parts, "place").sortWithinPartitions("bucket", "tail", F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
 
 DIGEST_COLUMNS = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")

@@ -170,8 +170,8 @@ def gradients(net: Net, raw: Sequence[bytes], labels: np.ndarray, weights: np.nd
     seen = net.embed[window].reshape(*block.shape, 2 * BLOCK * EMBED)
     g_filters = np.einsum("cf,cfk->kf", d_pool, seen, optimize=True)
     back = (d_pool[:, :, None] * net.filters.T).reshape(*block.shape, 2 * BLOCK, EMBED)
-    g_embed = np.zeros_like(net.embed)
-    np.add.at(g_embed, window.ravel(), back.reshape(-1, EMBED))
+    back = back.reshape(-1, EMBED)
+    g_embed = np.stack([np.bincount(window.ravel(), back[:, e], 256) for e in range(EMBED)], axis=1).astype(net.embed.dtype)
     g_embed[0] = 0
     return loss, [g_embed, g_filters, d_pool.sum(axis=0), g_hidden, g_hidden_bias, g_out, g_out_bias]
 
@@ -196,7 +196,7 @@ def train(texts: Sequence[str], labels: Sequence[int], weights: Sequence[float]
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     first, second = [np.zeros_like(p) for p in net.params()], [np.zeros_like(p) for p in net.params()]
     # small samples get more passes
-    epochs = max(epochs, min(60, -(-epochs * 1500 // len(raw))))
+    epochs = max(epochs, min(24, -(-epochs * 1500 // len(raw))))
     step, steps = 0, epochs * -(-len(raw) // BATCH)
     for _ in range(epochs):
         order = rng.permutation(len(raw))

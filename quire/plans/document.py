@@ -106,15 +106,15 @@ def without_table_figures(blocks: Sequence[Block]) -> list[Block]:
     return out
 
 
-def joined_figures(blocks: Sequence[Block], image: np.ndarray) -> tuple[dict[int, pixels.Box], dict[int, str | None], set[int]]:
-    """Boxes and captions by the first block of each cluster of boxes, and the
-    blocks that a cluster absorbs."""
+def joined_figures(blocks: Sequence[Block], shape: tuple[int, int]) -> tuple[dict[int, pixels.Box], dict[int, str | None], set[int]]:
+    """Boxes (on a page of that height and width) and captions by the first
+    block of each cluster of boxes, and the blocks that a cluster absorbs."""
     boxed = [i for i, b in enumerate(blocks) if b.is_figure and b.box]
-    boxes = [pixels.to_pixels(blocks[i].box, image) for i in boxed]
+    boxes = [pixels.to_pixels(blocks[i].box, shape) for i in boxed]
     at: dict[int, pixels.Box] = {}
     captions: dict[int, str | None] = {}
     gone: set[int] = set()
-    for group in pixels.clusters(boxes, pixels.MERGE_GAP * image.shape[0]):
+    for group in pixels.clusters(boxes, pixels.MERGE_GAP * shape[0]):
         first, *others = (boxed[g] for g in group)
         at[first] = pixels.union([boxes[g] for g in group])
         captions[first] = next((c for g in group if (c := blocks[boxed[g]].caption)), None)
@@ -122,11 +122,24 @@ def joined_figures(blocks: Sequence[Block], image: np.ndarray) -> tuple[dict[int
     return at, captions, gone
 
 
-def page_html(md: str, image: np.ndarray | None = None, sink: Sink = inline_sink, read: pixels.Reader | None = None, known: Dictionary = no_words, number: int = 0) -> list[str]:
-    """A page's HTML blocks, figures among them. Without an image a figure is
-    its caption; ``number`` is the last figure's of the pages before."""
-    blocks = without_table_figures(page_blocks(T.collapsed_page(T.closed(md))))
-    at, captions, gone = joined_figures(blocks, image) if image is not None else ({}, {}, set())
+def _blocks(md: str) -> list[Block]:
+    return without_table_figures(page_blocks(T.collapsed_page(T.closed(md))))
+
+
+def page_crops(md: str, image: np.ndarray, read: pixels.Reader | None = None) -> dict[int, bytes]:
+    """A page's figures as PNG, by the place of their first block."""
+    blocks = _blocks(md)
+    at, captions, _ = joined_figures(blocks, image.shape[:2])
+    crops = {i: pixels.cropped(image, box, captions[i], read) for i, box in at.items()}
+    return {i: pixels.png(c) for i, c in crops.items() if c is not None}
+
+
+def page_html(md: str, shape: tuple[int, int] | None = None, crops: dict[int, bytes] | None = None, sink: Sink = inline_sink, known: Dictionary = no_words, number: int = 0) -> list[str]:
+    """A page's HTML blocks, figures among them. ``shape`` is the height and
+    width of its raster, ``crops`` what ``page_crops`` gave; without them a
+    figure is its caption. ``number`` is the last figure's of the pages before."""
+    blocks = _blocks(md)
+    _, captions, gone = joined_figures(blocks, shape) if shape else ({}, {}, set())
     out: list[str] = []
     prose: list[str] = []
     for i, b in enumerate([*blocks, Block(box=())]):
@@ -139,10 +152,9 @@ def page_html(md: str, image: np.ndarray | None = None, sink: Sink = inline_sink
             continue
         caption = captions.get(i, b.caption)
         inner = f"<figcaption>{markdown.caption(latex.to_html(caption))}</figcaption>" if caption else ""
-        crop = pixels.cropped(image, at[i], caption, read) if i in at else None
-        if crop is not None:
+        if crops and i in crops:
             number += 1
-            out.append(f'<figure><img src="{sink(pixels.png(crop), "image/png", number)}" alt="">{inner}</figure>')
+            out.append(f'<figure><img src="{sink(crops[i], "image/png", number)}" alt="">{inner}</figure>')
         elif inner:
             out.append(f"<figure>{inner}</figure>")
     return out
@@ -207,16 +219,40 @@ def document_doi(layer: str | None, md: str | None) -> str | None:
     return B.doi(layer or "") or B.doi(md or "")
 
 
+def with_crops(pages: DataFrame, connect: Callable[[], pixels.Reader] | None = None) -> DataFrame:
+    """``doc_id, page_no, md, layer, width, height, crops``: rasters (``pixels``)
+    replaced by the figures cut from them, in place, so that rasters are never
+    shuffled. ``connect`` makes a reader of regions, for captions that were
+    drawn into figures; without it their run lengths decide."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = connect() if connect else None
+        for batch in batches:
+            crops = []
+            for r in batch.select(["md", "width", "height", "pixels"]).to_pylist():
+                image = np.frombuffer(r["pixels"], np.uint8).reshape(r["height"], r["width"], -1) if r["pixels"] else None
+                crops.append([] if image is None else [{"place": k, "png": v} for k, v in page_crops(r["md"], image, read).items()])
+            kind = pa.list_(pa.struct([("place", pa.int32()), ("png", pa.binary())]))
+            kept = ["doc_id", "page_no", "md", "layer", "width", "height"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(crops, kind)], names=[*kept, "crops"])
+
+    pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    return pages.mapInArrow(run, "doc_id string, page_no int, md string, layer string, width int, height int, crops array<struct<place:int,png:binary>>")
+
+
 def parse_documents(pages: DataFrame, known: Dictionary = no_words, *, sink: Sink = inline_sink, connect: Callable[[], pixels.Reader] | None = None) -> DataFrame:
     """``doc_id, html, title, byline, doi`` for a relation of pages: ``doc_id,
     page_no, md`` and, where there are any, ``layer`` (embedded text) and
-    ``width, height, pixels`` (the raster, for figures). Null markdown is an
-    empty page; extra columns are ignored; a document without text is empty.
-    ``connect`` makes a reader of image regions, for captions that were drawn
-    into figures; without it their run lengths decide."""
+    ``width, height, pixels`` (the raster, for figures; see ``with_crops`` for
+    ``connect``). Null markdown is an empty page; extra columns are ignored; a
+    document without text is empty."""
     optional = {"layer": "string", "width": "int", "height": "int", "pixels": "binary"}
     have = {c: F.col(c) if c in pages.columns else F.lit(None) for c in optional}
     rows = pages.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page_no").cast("int").alias("page_no"), F.coalesce("md", F.lit("")).alias("md"), *[have[c].cast(t).alias(c) for c, t in optional.items()])
+    if "pixels" in pages.columns:
+        rows = with_crops(rows, connect)
+    else:
+        rows = rows.drop("pixels").withColumn("crops", F.lit(None).cast("array<struct<place:int,png:binary>>"))
 
     def one(table: pa.Table) -> pa.Table:
         own = sorted(table.to_pylist(), key=lambda r: (r["page_no"] is not None, r["page_no"], r["md"]))
@@ -224,11 +260,11 @@ def parse_documents(pages: DataFrame, known: Dictionary = no_words, *, sink: Sin
         running = L.recurring_lines(layers)
         mds = [L.reconciled(r["md"], x, running) for r, x in zip(own, layers, strict=True)]
         start = article_start(mds)
-        read = connect() if connect and any(r["pixels"] for r in own) else None
         blocks: list[list[str]] = []
         for r, md in list(zip(own, mds, strict=True))[start:]:
-            image = np.frombuffer(r["pixels"], np.uint8).reshape(r["height"], r["width"], -1) if r["pixels"] else None
-            blocks.append(page_html(md, image, sink, read, known, sum(b.startswith("<figure><img") for p in blocks for b in p)))
+            drawn = sum(b.startswith("<figure><img") for p in blocks for b in p)
+            crops = {c["place"]: c["png"] for c in r["crops"] or []}
+            blocks.append(page_html(md, (r["height"], r["width"]) if r["height"] else None, crops, sink, known, drawn))
         done = assemble(blocks, known)
         doi = document_doi(layers[start], mds[start])
         return pa.table({"doc_id": [own[0]["doc_id"]], "html": [done.html], "title": [done.title], "byline": [done.byline], "doi": pa.array([doi], pa.string())})
@@ -242,7 +278,7 @@ def html_blocks(pages: DataFrame, known: Dictionary = no_words) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, numbers, mds = (batch.column(c).to_pylist() for c in ("doc_id", "page_no", "md"))
-            rows = [(i, n, k, h) for i, n, md in zip(ids, numbers, mds, strict=True) for k, h in enumerate(page_html(md or "", None, inline_sink, None, known))]
+            rows = [(i, n, k, h) for i, n, md in zip(ids, numbers, mds, strict=True) for k, h in enumerate(page_html(md or "", known=known))]
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.string())
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "page_no", "block_no", "html"])

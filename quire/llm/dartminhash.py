@@ -24,7 +24,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTES = np.random.default_rng(5).integers(1, 2**63, 256, np.uint64)
 _BYTES[_SPACE] = 0
 #: Texts worked on together, by bytes.
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -34,8 +34,11 @@ VECTOR = ("word_length", "symbols", "dup_lines", "repeats")
 #: Least standard deviation of each coordinate: spreads below it are noise.
 FLOOR = (0.02, 0.04, 0.06, 0.06)
 P = len(VECTOR)
+#: Groups up to which their one row each (some 150 bytes) is broadcast; beyond,
+#: rows meet it by shuffle, a group's rows in as many parts as there are salts.
+BROADCAST_GROUPS, SALTS = 20_000, 64
 #: Grid for medians, and bins per unit of the log distance.
-GRID, BINS = 1024, 32
+GRID, BINS = 256, 32
 
 
 def statistics(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
@@ -125,6 +128,17 @@ def _key(*columns: str) -> Column:
     return F.concat_ws(",", *[part(c) for c in columns])
 
 
+def with_groups(rows: DataFrame, params: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``params``, a stored table of one row per group, so
+    that no task gets a whole group: neither by the join, nor by an aggregation
+    that would take over its partitioning."""
+    if params.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(params), on, how)
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(SALTS)).cast("int"))
+    spread = params.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(spread, [*on, "__salt"], how).drop("__salt")
+
+
 def grouped(stats: DataFrame, lang_col: str, source_col: str) -> DataFrame:
     """``stats`` with vector and group ``k`` (null where nothing is judged)."""
     own = stats.select("*", *vector(), _key(lang_col, source_col).alias("__own"), _key(lang_col).alias("__lang"))
@@ -134,7 +148,7 @@ def grouped(stats: DataFrame, lang_col: str, source_col: str) -> DataFrame:
     keys = sizes.join(pooled, "__lang", "left").select(
         "__own", F.coalesce("k", F.when(F.col("m") >= MIN_GROUP, F.concat(F.lit("*"), F.col("__lang")))).alias("k")
     )
-    return own.join(stored(keys, "groups"), "__own", "left").drop("__own", "__lang")
+    return with_groups(own, stored(keys, "groups"), ["__own"], "left").drop("__own", "__lang")
 
 
 def _median(rows: DataFrame, value: Column) -> DataFrame:
@@ -197,7 +211,7 @@ def estimates(rows: DataFrame) -> DataFrame:
     rows = rows.select("k", *xs).where("k is not null")
     long = rows.select("k", F.posexplode(F.array(*xs)).alias("dim", "x"))
     mids = stored(_median(long, F.col("x")), "medians")
-    off = long.join(mids, ["k", "dim"])
+    off = with_groups(long, mids, ["k", "dim"])
     mads = _median(off, F.abs(F.col("x") - F.col("mid"))).withColumnRenamed("mid", "mad")
     spread = mids.join(mads, ["k", "dim"]).groupBy("k").agg(
         *[F.max(F.when(F.col("dim") == i, F.col("mid"))).alias(f"m{i}") for i in range(P)],
@@ -216,18 +230,18 @@ def estimates(rows: DataFrame) -> DataFrame:
     now = stored(_solved(plain.unionByName(robust), keys, 1.0), "mcd")
     centre = [f"m{i}" for i in range(P)]
     for _ in range(STEPS):
-        far = rows.join(now, "k").withColumn("bin", F.floor(F.log(_distance() + 1e-9) * BINS))
+        far = with_groups(rows, now, ["k"]).withColumn("bin", F.floor(F.log(_distance() + 1e-9) * BINS))
         counts = far.groupBy("k", "start", "bin").agg(F.count("*").alias("n"))
         w = Window.partitionBy("k", "start")  # bins of a bounded range
         upto = counts.select("k", "start", "bin", F.sum("n").over(w.orderBy("bin")).alias("upto"), F.sum("n").over(w).alias("all"))
         edge = upto.where(F.col("upto") >= SUPPORT * F.col("all")).groupBy("k", "start").agg(F.min("bin").alias("edge"))
-        inner = far.join(stored(edge, "edges"), keys).where("bin <= edge")
+        inner = with_groups(far, stored(edge, "edges"), keys).where("bin <= edge")
         nxt = stored(_solved(inner.groupBy(*keys, *centre).agg(*_moments()), keys, consistency(SUPPORT)), "mcd")
         drop_stored(now)
         now = nxt
     best = now.groupBy("k").agg(F.min_by(F.struct(*[c for c in now.columns if c not in keys]), F.struct("logdet", "start")).alias("b")).select("k", "b.*")
     best = stored(best, "mcd")
-    near = rows.join(best, "k").where(_distance() <= chi2_point(0.025, P))
+    near = with_groups(rows, best, ["k"]).where(_distance() <= chi2_point(0.025, P))
     return stored(_solved(near.groupBy("k", *centre).agg(*_moments()), ["k"], consistency(0.975)), "mcd")
 
 
@@ -247,7 +261,7 @@ def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
     stats = stored(statistics(rows, text_col=text_col), "stats")
     judged = grouped(stats, "__lg", "__sr")
     found = estimates(judged.where("not base_failed"))
-    out = judged.join(found, "k", "left").withColumn("distance", _distance())
+    out = with_groups(judged, found, ["k"], "left").withColumn("distance", _distance())
     fits = F.coalesce(F.col("distance") <= chi2_point(TAIL, P), F.lit(True))
     keep = [F.col(f"`{c}`") for c in stats.columns if c not in ("__lg", "__sr")]
     return out.select(*keep, "distance", (~F.col("base_failed") & fits).alias("kept"))

@@ -82,6 +82,13 @@ def test_query_keeps_clean_documents(spark, sf):
     assert sum(r["kept"] for r in junk) < 0.5 * len(junk)
 
 
+def test_many_groups_are_joined_in_parts(spark, sf, monkeypatch):
+    one = sorted(map(tuple, Q.op6_quality_rules(spark, sf).collect()))
+    monkeypatch.setattr(Q, "BROADCAST_GROUPS", 0)
+    many = Q.op6_quality_rules(spark, sf)
+    assert "__salt" in many._jdf.queryExecution().toString() and sorted(map(tuple, many.collect())) == one
+
+
 def test_no_python_in_plan(spark, sf):
     plan = Q.op6_quality_rules(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -37,6 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over all cores if they come from fewer files: a small table in
+    one file would otherwise be one task. Large inputs have files enough and are
+    left alone."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def values(spark: SparkSession, ddl: str, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), ddl)
 
@@ -57,7 +65,7 @@ blocks AS (
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = R.as_paragraphs(R.split_lines(table(spark, sf_dir, "documents"), "source", "doc_id"))
+    lines = R.as_paragraphs(R.split_lines(spread(table(spark, sf_dir, "documents").select("source", "doc_id", "text")), "source", "doc_id"))
     made = values(spark, "page bigint, html string", _SAMPLES).select("page", F.lit(0).alias("block_no"), "html")
     return lines.select("page", "block_no", "html").unionByName(made)
 
@@ -140,7 +148,7 @@ _KEYS_SQL = f"""{_PARAGRAPHS_SQL}, seen AS (
 
 
 def _paragraphs(spark, sf_dir):
-    return R.as_paragraphs(R.split_lines(table(spark, sf_dir, "documents"), "source", "doc_id"))
+    return R.as_paragraphs(R.split_lines(spread(table(spark, sf_dir, "documents").select("source", "doc_id", "text")), "source", "doc_id"))
 
 
 @query(f"WITH {_KEYS_SQL} SELECT doc, key FROM running")
@@ -181,7 +189,7 @@ def _masked(text: str) -> str:
 
 @query(f"SELECT doc, key, count(*) AS n FROM (SELECT DISTINCT doc, page, {_masked('line')} AS key FROM ({_LINES_SQL})) WHERE length(key) >= 6 GROUP BY doc, key HAVING count(*) >= 3")
 def recurring_lines(spark, sf_dir):
-    return R.recurring_lines(R.split_lines(table(spark, sf_dir, "documents"), "source", "doc_id"))
+    return R.recurring_lines(R.split_lines(spread(table(spark, sf_dir, "documents").select("source", "doc_id", "text")), "source", "doc_id"))
 
 
 @query(
@@ -190,7 +198,7 @@ def recurring_lines(spark, sf_dir):
     "SELECT doc_id, sum(n)::BIGINT AS words, max(n) AS top, sum(n) >= 8 AND max(n) >= 0.6 * sum(n) AS degenerate FROM c GROUP BY doc_id"
 )
 def token_mode_share(spark, sf_dir):
-    return R.mode_share(table(spark, sf_dir, "documents"), "doc_id")
+    return R.mode_share(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id")
 
 
 _P, _H1 = r"(?is)<p\b[^>]*>(.*?)</p>", r"(?is)<h1\b[^>]*>(.*?)</h1>"
@@ -465,7 +473,8 @@ def missing_figures(spark, sf_dir):
 
 # ---- whole documents
 def _as_pages(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(0).alias("page_no"), F.col("text").alias("md"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(0).alias("page_no"), F.col("text").alias("md"))
 
 
 @query()

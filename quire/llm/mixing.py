@@ -5,7 +5,9 @@ Poisson distribution whose mean is its source's repetition rate
 
     rate(source) = total * weight(source) / size(source)
 
-at a uniform number hashed from the seed and the document's id.  The decision
+at a uniform number hashed from the seed and the document's id.  A large rate
+is split into equal pieces, and ``k`` is the sum of their independent counts,
+which has the same distribution.  The decision
 of one document depends on no other document, so a rerun, a lost executor or
 another partitioning gives the same mix.
 """
@@ -24,6 +26,10 @@ DEFAULT_WEIGHTS = {"src0": 0.10}
 SEED = 20240229
 #: Poisson terms kept per source beyond the mean: mean + 12 deviations + 20.
 TAIL_SD, TAIL_MIN = 12.0, 20
+#: From the first rate on exp(-rate) nears underflow: pieces of at most the second.
+LARGE, PIECE = 700.0, 500.0
+#: Copies of a row that are listed at once.
+BLOCK = 4096
 
 
 def unit_hash(seed: int, *keys: Column) -> Column:
@@ -33,12 +39,13 @@ def unit_hash(seed: int, *keys: Column) -> Column:
 
 
 def source_rates(sizes: DataFrame, weights: Mapping[str, float], total: float | None) -> DataFrame:
-    """``source, rate, cdf`` from ``source, size``: one row per source.
+    """``source, rate, pieces, cdf`` from ``source, size``: one row per source.
 
     Sources without a weight share what the given weights leave, evenly. Given
     weights of sources that are absent count as nothing; weights are scaled to
     a sum of 1. A source of size 0 has rate 0. ``cdf`` holds the cumulative
-    Poisson probabilities of 0, 1, 2, ... repetitions.
+    Poisson probabilities of 0, 1, 2, ... repetitions at one of ``pieces``
+    equal parts of the rate; there is one part below ``LARGE``.
     """
     given = F.lit(None).cast("double")
     for name, w in sorted(weights.items()):
@@ -55,18 +62,20 @@ def source_rates(sizes: DataFrame, weights: Mapping[str, float], total: float |
     want = F.lit(float(total)) if total is not None else s("all").cast("double")
     rate = F.when(F.col("size") > 0, want * w / F.col("size")).otherwise(0.0)
     out = sizes.withColumn("rate", F.coalesce(rate, F.lit(0.0)))
-    steps = F.sequence(F.lit(1), (F.col("rate") + TAIL_SD * F.sqrt("rate") + TAIL_MIN).cast("int"))
-    start = F.struct(F.exp(-F.col("rate")).alias("p"), F.array(F.exp(-F.col("rate"))).alias("c"))
+    out = out.withColumn("pieces", F.when(F.col("rate") < LARGE, F.lit(1).cast("long")).otherwise(F.ceil(F.col("rate") / PIECE)))
+    out = out.withColumn("part", F.col("rate") / F.col("pieces"))
+    steps = F.sequence(F.lit(1), (F.col("part") + TAIL_SD * F.sqrt("part") + TAIL_MIN).cast("int"))
+    start = F.struct(F.exp(-F.col("part")).alias("p"), F.array(F.exp(-F.col("part"))).alias("c"))
     cdf = F.aggregate(
         steps,
         start,
         lambda a, i: F.struct(
-            (a["p"] * F.col("rate") / i).alias("p"),
-            F.concat(a["c"], F.array(F.element_at(a["c"], -1) + a["p"] * F.col("rate") / i)).alias("c"),
+            (a["p"] * F.col("part") / i).alias("p"),
+            F.concat(a["c"], F.array(F.element_at(a["c"], -1) + a["p"] * F.col("part") / i)).alias("c"),
         ),
         lambda a: a["c"],
     )
-    return out.select("source", "rate", cdf.alias("cdf"))
+    return out.select("source", "rate", "pieces", cdf.alias("cdf"))
 
 
 def replicate(
@@ -78,6 +87,7 @@ def replicate(
     size: Column | None = None,
     total: float | None = None,
     seed: int = SEED,
+    below: float | None = LARGE,
 ) -> DataFrame:
     """All columns of ``docs`` plus ``copy`` (from 0) and ``mix_key``, in
     globally shuffled order: ranges of the hashed ``mix_key`` over partitions,
@@ -88,8 +98,9 @@ def replicate(
     Sizes are summed over all documents. A null source is a source of its own;
     null ids hash as empty. Rows that repeat an id are repeated alike. Input
     columns named like the two new ones, or with the operator's internal
-    prefix, are replaced. Rates above about 700 are refused, because exp(-rate)
-    would underflow.
+    prefix, are replaced. Rates from ``below`` on are refused, so that a call
+    with a mistaken ``total`` fails; with None, as in the query and the stage,
+    none is. A row's copies are numbered by an int, which its count must fit.
 
     The rates are one row per source; Spark broadcasts them only if their
     measured size is under its own threshold and otherwise joins by shuffle,
@@ -98,18 +109,24 @@ def replicate(
     src = F.col(f"`{source_col}`")
     one = size if size is not None else F.lit(1)
     sizes = docs.select(src.alias("source"), one.cast("double").alias("size")).groupBy("source").agg(F.sum("size").alias("size"))
-    rates = source_rates(sizes, weights, total).select(
-        F.col("source").alias("__mix_source"),
-        F.when(F.col("rate") < 700, F.col("cdf")).otherwise(F.raise_error("repetition rate above 700")).alias("__mix_cdf"),
-    )
+    rates = source_rates(sizes, weights, total)
+    cdf = F.col("cdf") if below is None else F.when(F.col("rate") < below, F.col("cdf")).otherwise(F.raise_error(f"repetition rate of {below:g} or more"))
+    rates = rates.select(F.col("source").alias("__mix_source"), F.col("pieces").alias("__mix_pieces"), cdf.alias("__mix_cdf"))
     rates = stored(rates, "rates")  # a known size: the join can be planned without moving texts first
     base = docs.drop("copy", "mix_key")
-    u = unit_hash(seed, F.col(f"`{id_col}`"))
+    id_ = F.col(f"`{id_col}`")
     counted = base.join(rates, src.eqNullSafe(F.col("__mix_source")))
-    # the hash is bound to a lambda variable so that it is computed once a row
-    n = F.transform(F.array(unit_hash(seed, F.col(f"`{id_col}`"))), lambda u: F.size(F.filter("__mix_cdf", lambda c: c <= u)))[0]
+    # the hash is bound to a lambda variable so that it is computed once a piece
+    count = lambda *keys: F.transform(F.array(unit_hash(seed, *keys)), lambda u: F.size(F.filter("__mix_cdf", lambda c: c <= u)))[0].cast("long")
+    more = F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("__mix_pieces") - 1), F.lit(0).cast("long"), lambda a, i: a + count(id_, i))
+    n = F.when(F.col("__mix_pieces") > 1, count(id_) + more).otherwise(count(id_))
     kept = [F.col(f"`{c}`") for c in base.columns]
-    out = counted.select(*kept, F.posexplode(F.array_repeat(F.lit(True), n)).alias("copy", "__mix_one")).drop("__mix_one")
+    # blocks of copies, so that no row lists all of very many at once
+    blocks = F.when(F.col("__mix_n") > 0, F.sequence(F.lit(0).cast("long"), F.floor((F.col("__mix_n") - 1) / BLOCK)))
+    copies = F.sequence(F.col("__mix_block") * BLOCK, F.least(F.col("__mix_n"), (F.col("__mix_block") + 1) * BLOCK) - 1)
+    out = counted.select(*kept, n.alias("__mix_n"))
+    out = out.select(*kept, "__mix_n", F.explode(blocks).alias("__mix_block")).select(*kept, F.explode(copies).alias("copy"))
+    out = out.withColumn("copy", F.col("copy").cast("int"))
     key = F.xxhash64(F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.col("copy"))
     return out.withColumn("mix_key", key)
 
@@ -124,13 +141,13 @@ def shuffled(mixed: DataFrame, *ties: str) -> DataFrame:
 def op10_mix_sources(spark, sf_dir: str) -> DataFrame:
     """Every whole document, repeated to the default weights by characters."""
     docs = table(spark, sf_dir, "documents")
-    mixed = replicate(docs, size=F.length(F.coalesce("text", F.lit(""))))
+    mixed = replicate(docs, size=F.length(F.coalesce("text", F.lit(""))), below=None)
     return shuffled(mixed, "doc_id", "copy").drop("mix_key")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the mix, with the columns of its input."""
-    mixed = replicate(docs, size=F.length(F.coalesce("text", F.lit(""))))
+    mixed = replicate(docs, size=F.length(F.coalesce("text", F.lit(""))), below=None)
     return shuffled(mixed, "doc_id", "copy").select(docs.columns)
 
 

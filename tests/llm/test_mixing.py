@@ -52,6 +52,36 @@ def test_rates_that_underflow_are_refused(spark):
         M.replicate(docs(spark, [(1, "a")]), total=1000.0).collect()
 
 
+def hashed(*keys):
+    return int(hashlib.md5("|".join(map(str, (M.SEED, *keys))).encode()).hexdigest()[:13], 16) / 2**52
+
+
+def by_pieces(rate, id_):
+    m = 1 if rate < 700 else math.ceil(rate / 500)
+    return sum(poisson(rate / m, hashed(id_, *([i] if i else []))) for i in range(m))
+
+
+def test_rare_and_null_sources_are_repeated_in_full(spark, tmp_path):
+    for i, rows in enumerate(([(1, "a" * 5000, None, "big", 0), (2, "abc", None, "tiny", 0)], [(1, "a" * 30_000, None, "src0", 0), (2, "b" * 9000, None, "src1", 0), (3, "cd", None, None, 0), (4, "e", None, None, 0)])):
+        docs(spark, rows).coalesce(1).write.parquet(f"file://{tmp_path}/{i}/documents.parquet")
+        size = Counter()
+        for r in rows:
+            size[r[3]] += len(r[1])
+        total, free = sum(size.values()), len(size) - ("src0" in size)
+        rate = {s: total * (0.1 if s == "src0" else 0.9 / free) / (1.0 if "src0" in size else 0.9) / size[s] for s in size}
+        assert max(rate.values()) > 830
+        want = {r[0]: by_pieces(rate[r[3]], r[0]) for r in rows}
+        got = M.op10_mix_sources(spark, f"file://{tmp_path}/{i}").select("doc_id", "copy").collect()
+        assert sorted(map(tuple, got)) == [(d, k) for d in sorted(want) for k in range(want[d])]
+        assert M.stage(spark, docs(spark, rows), "").count() == len(got)
+
+
+def test_large_rates_keep_the_distribution(spark):
+    d = docs(spark, [(i, "x") for i in range(60)])
+    counts = [r["count"] for r in M.replicate(d, total=120_000.0, below=None).groupBy("doc_id").count().collect()]
+    assert abs(statistics.mean(counts) - 2000) < 5 * math.sqrt(2000 / 60) and 0.4 < statistics.variance(counts) / 2000 < 1.8
+
+
 def test_mix_meets_targets_and_is_shuffled(spark, sf):
     docs_ = spark.read.parquet(sf.replace("0.001", "0.1") + "/documents.parquet")
     mixed = M.shuffled(M.replicate(docs_, {"src1": 0.3}), "doc_id", "copy").select("doc_id", "source").collect()

@@ -195,9 +195,11 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
 def label_words(scores: np.ndarray, doc: np.ndarray, n: int, switch: float = SWITCH) -> tuple[np.ndarray, np.ndarray]:
     """The Viterbi label of each word, and each text's summed scores.
 
-    If no stretch of words gains more than one switch costs by leaving the
-    text's best single language, that language is the optimal path; only texts
-    where some stretch does gain more are decoded word by word.
+    If no stretch of words gains half of what a switch costs by leaving the
+    text's best single language, that language is the optimal path: m stretches
+    elsewhere gain less than m / 2 switches and need m - 1 at least, and one
+    alone over the whole text gains nothing. Only texts where some stretch does
+    gain that much are decoded word by word.
     """
     width = scores.shape[1]
     total = np.zeros((n, width))
@@ -217,7 +219,7 @@ def label_words(scores: np.ndarray, doc: np.ndarray, n: int, switch: float = SWI
         after, before = after - base, before - base
         drop = (after.max() - min(after.min(), 0) + 1) * np.cumsum(np.append(True, doc[1:] != doc[:-1]))
         low = np.minimum.accumulate(before - drop) + drop
-        mixed[doc[after - low > switch]] = True
+        mixed[doc[after - low > switch / 2 - 1e-6]] = True  # the sums are rounded
     labels = best[doc]
     bounds = np.append(starts, len(doc))
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

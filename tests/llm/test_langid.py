@@ -35,6 +35,19 @@ def test_shortcut_equals_full_decoding():
         assert abs(value(got[doc == d]) - value(L.viterbi(own, 6.0))) < 1e-9
 
 
+def test_short_texts_get_the_best_path():
+    got, _ = L.label_words(np.array([[0.0, 10, -20], [0, -20, 10]]), np.zeros(2, np.int64), 1, 14.0)
+    assert got.tolist() == [1, 2]
+    rng = np.random.default_rng(5)
+    doc = np.repeat(np.arange(600), rng.integers(1, 6, 600))
+    s = rng.normal(0, 9, (len(doc), 3)) * [0.2, 1, 1]
+    got, _ = L.label_words(s, doc, 600, 14.0)
+    for d in range(600):
+        own = s[doc == d]
+        value = lambda p: sum(own[i, k] for i, k in enumerate(p)) - 14.0 * sum(a != b for a, b in zip(p, p[1:]))  # noqa: B023, E731
+        assert abs(value(got[doc == d].tolist()) - max(map(value, itertools.product(range(3), repeat=len(own))))) < 1e-9
+
+
 def test_words_and_spans():
     text = "É1 x" + EN * 8 + "🙂 " + RU * 8
     w = L.split_words([text, "", "123", "ab"])

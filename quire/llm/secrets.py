@@ -54,6 +54,18 @@ RULES: tuple[Rule, ...] = (
     Rule("basic_auth", 1, r"[a-z][a-z0-9+.-]*://[^\x00-\x20:/@]+:[^\x00-\x20:/@]+@", 0, 0, 0, ("://",)),
 )
 
+#: From a private key's header to its END line, or, where that is missing, to the
+#: end of its header fields and base64 lines; line ends may be written as escapes.
+_GAP = r"""(?:[\s"',>#|]|\\[nrt])*+"""
+PEM_BLOCK = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:"
+    r"(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    rf"""|(?:{_GAP}[A-Z][A-Za-z-]*: [^\r\n\\]*)*+(?:{_GAP}[A-Za-z0-9+/=]{{16,}}+)++(?:(?:\r?\n|\\n)[ \t]*[A-Za-z0-9+/=]{{1,15}}+(?![^\s"'\\]))?"""
+    r"|)"
+)
+#: What the pipeline removes: as RULES, but with whole private keys.
+STAGE_RULES: tuple[Rule, ...] = tuple(Rule("pem", 2, PEM_BLOCK, 0, 0, 0, r.hints) if r.kind == "pem" else r for r in RULES)
+
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("version", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]))
 LEDGER_SCHEMA = "blob_id binary, scanned array<string>, found array<struct<kind:string,version:int,start:int,stop:int>>"
 _LEDGER_ARROW = pa.schema([("blob_id", pa.binary()), ("scanned", pa.list_(pa.string())), ("found", _SPANS)])
@@ -158,11 +170,14 @@ def count_of(spans, kind: str):
 
 
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``found`` with every span of ``text`` replaced by ``<kind>``, right to
-    left; of overlapping spans the earlier one (then the longer) is replaced."""
+    """``found`` with every span of ``text`` replaced by ``<kind>``, left to
+    right; overlapping spans are replaced as one, from the first's start to the
+    last end, by the kind of the earliest (then the longest) of them."""
     arrow_batches(docs.sparkSession)
     ordered = F.array_sort(F.transform("secrets", lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("neg"), s["kind"].alias("kind"))))
-    step = lambda a, s: F.when(s["start"] < a["at"], a).otherwise(
+    step = lambda a, s: F.when(
+        s["start"] < a["at"], F.struct(a["out"].alias("out"), F.greatest(a["at"], -s["neg"]).alias("at"))
+    ).otherwise(
         F.struct(
             F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit("<"), s["kind"], F.lit(">")).alias("out"),
             (-s["neg"]).alias("at"),
@@ -187,8 +202,9 @@ def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document stays; its secrets are replaced by
-    ``<kind>`` and ``n_chars`` follows the new text."""
-    found = findings(docs, scan(docs))
+    ``<kind>``, private keys with their bodies, and ``n_chars`` follows the new
+    text."""
+    found = findings(docs, scan(docs, STAGE_RULES), STAGE_RULES)
     out = redact(docs, found)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from quire.llm import secrets as S
 
@@ -74,6 +75,32 @@ def test_stage_replaces_secrets(spark, sf):
     assert got[2]["text"] is None and got[3]["text"] == "clean"
 
 
+BODY = "\n".join(["MIIEvQ" + "Ab0+/" * 11 + "xyz"] * 3 + ["Zm9vYmE="])
+
+
+def test_stage_leaves_nothing_of_a_secret(spark, sf):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    cases = {
+        "secret = postgresql://admin:hunter2hunter2@db": "<assign>db",
+        "DB_PASSWORD=mongodb://u:pw@h": "DB_<assign>h",
+        f"a\n{begin}\n{BODY}\n{end}\nz": "a\n<pem>\nz",
+        f"a {begin}\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,00FF\r\n\r\n" + BODY.replace("\n", "\r\n") + f"\r\n{end} z": "a <pem> z",
+        f"{begin}\n{BODY}\nThe rest of the text stays.": "<pem>\nThe rest of the text stays.",
+        f"{begin}\nProc-Type: 4,ENCRYPTED\n\n{BODY}\n\nThe rest.": "<pem>\n\nThe rest.",
+        '{"key": "' + f"{begin}\n{BODY}\n{end}\n".replace("\n", "\\n") + '"}': '{"key": "<pem>\\n"}',
+        f"secret: {begin}\n{BODY}\n{end} z": "<assign> z",
+        f"{begin}\n{BODY}\n{begin}\n{BODY}\n{end}": "<pem>\n<pem>",
+        f"the line {begin} opens a key file": "the line <pem> opens a key file",
+    }
+    d = docs(spark, list(enumerate(cases)))
+    got = {r["doc_id"]: r["text"] for r in S.stage(spark, d, sf).collect()}
+    assert got == dict(enumerate(cases.values()))
+    text = (begin + "\n" + "x y " * 50) * 4000
+    start = time.time()
+    S.find_spans(text, [(r, re.compile(r.pattern, r.flags)) for r in S.STAGE_RULES])
+    assert time.time() - start < 10
+
+
 def test_query_matches_sql(spark, sf):
     same_as_sql(S.op1_secret_scan(spark, sf), S.ORACLE, sf)
 

@@ -547,7 +547,8 @@ def reconcile_pages(spark, sf_dir):
 
 @query()
 def figure_crops(spark, sf_dir):
-    """Figures of pages drawn from order lines: how large their crops are."""
+    """Figures drawn from order lines, each on a page of its own, every other one
+    with a caption: how large their crops are, 0 by 0 if too small."""
     import numpy as np
     import pyarrow as pa
 
@@ -563,7 +564,7 @@ def figure_crops(spark, sf_dir):
                 sizes.append((0, 0) if crop is None else crop.shape)
             yield pa.RecordBatch.from_arrays([b.column("page"), b.column("k"), *(pa.array([s[i] for s in sizes], pa.int32()) for i in (1, 0))], names=["page", "k", "width", "height"])
 
-    return _boxes(spark, sf_dir).where("k = 1").mapInArrow(run, "page bigint, k int, width int, height int")
+    return _boxes(spark, sf_dir).mapInArrow(run, "page bigint, k int, width int, height int")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,14 @@ import base64
 import json
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from quire import __main__ as cli
 from quire import errors
+from quire import queries as Q
 from quire.functions import layout as L
 from quire.functions import pixels as X
 from quire.plans import recovery as V
@@ -310,3 +312,19 @@ def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame([("a/b", "<p>é</p>"), ("c", "")], "doc_id string, html string")
     sinks.write_html(docs, (tmp_path / "out").as_uri()).collect()
     assert (tmp_path / "out" / "a_b.html").read_text("utf-8") == "<p>é</p>" and (tmp_path / "out" / "c.html").read_text() == ""
+
+
+def test_every_box_is_cropped(spark, sf, tmp_path):
+    spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey <= 60").coalesce(1).write.parquet(f"file://{tmp_path}/lineitem.parquet")
+    rows = spark.read.parquet(f"file://{tmp_path}/lineitem.parquet").collect()
+    want, place = [], Counter()
+    for r in sorted(rows, key=lambda r: (r["l_orderkey"], r["l_linenumber"], r["l_partkey"], r["l_suppkey"], r["l_quantity"])):
+        place[r["l_orderkey"]] += 1
+        k = place[r["l_orderkey"]]
+        x, y = r["l_partkey"] % 700, r["l_suppkey"] * 37 % 600
+        right, bottom = int(x + r["l_quantity"] * 4), y + 40 + r["l_linenumber"] * 20
+        page = np.array([[0 if y <= i < bottom and x <= j < right else 255 for j in range(800)] for i in range(800)], np.uint8)
+        got = X.cropped(page, (x + 5, y + 5, right - 5, bottom - 5), "Fig. 1. Drawn" if k % 2 else None)
+        want.append((r["l_orderkey"], k, *((0, 0) if got is None else got.shape[::-1])))
+    assert len(want) == len(rows) > len(place) and any(k % 2 == 0 and w for _, k, w, _ in want)
+    assert sorted(map(tuple, Q.figure_crops(spark, f"file://{tmp_path}").select("page", "k", "width", "height").collect())) == sorted(want)

@@ -31,23 +31,32 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/quire/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *, rows: int | None = None, each: int = 250_000) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there,
-    so a lost executor costs a reread, not a recomputation."""
-    path = new_path(df.sparkSession, name)
+    so a lost executor costs a reread, not a recomputation.
+
+    ``rows``: how many it has at most, if that is known. Then it goes to files
+    of about ``each`` rows, or to two for each core if that is more: small
+    tables of many partitions would be a file for each.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-rows // each)))
     df.write.option("compression", "zstd").parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete what ``stored`` wrote for ``df``; later reads of it would fail."""
-    path = getattr(df, "_stored_at", None)
-    if path:
-        spark = df.sparkSession
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete what ``stored`` wrote for them; later reads of it would fail."""
+    for df in frames:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            spark = df.sparkSession
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def whole_text(column: str = "text"):

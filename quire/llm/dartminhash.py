@@ -176,6 +176,23 @@ def similarity(a: Shingles, i: int, b: Shingles, j: int) -> tuple[float, float]:
     return shared / (int(ca.sum()) + int(cb.sum()) - shared), both / (len(ha) + len(hb) - both)
 
 
+def beyond(a: Shingles, i: int, b: Shingles, j: int) -> tuple[float, int, np.ndarray]:
+    """Of texts i of ``a`` and j of ``b``: their weighted similarity, the
+    number of shingles of i, and hashes of those of them that j lacks. A
+    shingle that occurs again is another one, told apart by its number."""
+    ha, hb = a.hashes[a.bounds[i] : a.bounds[i + 1]], b.hashes[b.bounds[j] : b.bounds[j + 1]]
+    ca, cb = a.count[a.bounds[i] : a.bounds[i + 1]], b.count[b.bounds[j] : b.bounds[j + 1]]
+    size = int(ca.sum())
+    had = np.zeros(len(ha), np.int64)
+    if len(ha) and len(hb):
+        at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
+        had = np.where(hb[at] == ha, np.minimum(ca, cb[at]), 0)
+    shared, extra = int(had.sum()), ca - had
+    picked = np.repeat(np.arange(len(ha)), extra)
+    number = np.arange(len(picked)) - np.repeat(np.cumsum(extra) - extra, extra) + had[picked]
+    return shared / max(1, size + int(cb.sum()) - shared), size, mix(ha[picked] + M1 * number.astype(np.uint64)).view(np.int64)
+
+
 def pieces(lengths: Sequence[int], most: int = PIECE) -> list[tuple[int, int]]:
     """Runs of texts of about ``most`` bytes; a longer text is a run of its own."""
     out, first, size = [], 0, 0

@@ -111,15 +111,62 @@ def test_members_that_stars_leave_apart_are_compared(spark):
     assert got[len(texts) - 1] == got[len(texts) - 2] == len(texts) - 2
 
 
-def test_sketches_tell_similarity():
-    base = sentence(400)
-    texts = [" ".join(edited(base, n)).encode() for n in (0, 4, 8, 16, 30, 400)]
-    words = N.bit_sketches(texts)
-    found = D.shingles(texts)
+def test_beyond_matches_counts():
+    texts = ["a b c d e f g a b c d e f", "a b c d e f g h", "", "x " * 30, "x " * 12, "a b"]
+    found = D.shingles([t.encode() for t in texts])
+    for i, left in enumerate(texts):
+        for j, right in enumerate(texts):
+            same, size, own = D.beyond(found, i, found, j)
+            a, b = counted(left), counted(right)
+            assert abs(same - jaccard(a, b)) < 1e-12 and size == sum(a.values())
+            assert len(own) == len(set(own.tolist())) == sum((a - b).values())
+
+
+def test_meetings_lose_no_link(spark):
+    """Members of one head, with edits, cuts, additions and repeats: every link between components is met."""
+    head = sentence(80)
+    texts = [" ".join(head)]
+    for k in range(60):
+        w = edited(head, 2 + k % 6)
+        cut = rng.randrange(30)
+        texts.append(" ".join([w[cut:], w[: 80 - cut], w + w[:cut], w[:40] + ["again"] * cut + w[40:]][k % 4]))
+    texts += [" ".join(texts[k].split()[:-1] + ["end"]) for k in range(1, 20)]
+    found = D.shingles([t.encode() for t in texts])
+    rows = []
     for i in range(1, len(texts)):
-        differ = sum(int(x ^ y).bit_count() for x, y in zip(words[0].view(np.uint64), words[i].view(np.uint64)))
-        want = N.BITS * (1 - D.similarity(found, 0, found, i)[0]) / 2
-        assert abs(differ - want) < 5 * (N.BITS / 4) ** 0.5
+        same, size, own = D.beyond(found, i, found, 0)
+        rows.append((i, 0, same, size, own.tolist(), i, True))
+    stars = spark.createDataFrame(rows, "a bigint, b bigint, similarity double, size bigint, own array<bigint>, root bigint, loose boolean")
+    met = {tuple(sorted(r)) for r in N.meetings(stars, 0.8).collect()}
+    links = {(j, i) for i in range(1, len(texts)) for j in range(1, i) if jaccard(counted(texts[i]), counted(texts[j])) >= 0.8}
+    assert len(links) > 15 and links <= met
+    assert len(met) < len(texts) * (len(texts) - 1) / 4
+
+
+def test_pairs_grow_with_the_cluster(spark, monkeypatch):
+    """Copies of one text with edits of their own: comparisons are no square of their number."""
+    made = {}
+    for n in (150, 600):
+        base = [f"b{i}" for i in range(150)]
+        texts = [" ".join(f"e{n}-{k}-{i}" if i in where else w for i, w in enumerate(base)) for k in range(n) for where in [set(rng.sample(range(150), 1 + k % 6))]]
+        seen = []
+        real = N.compared
+        monkeypatch.setattr(N, "compared", lambda pairs, t, real=real, seen=seen: (seen.append(pairs.count()), real(pairs, t))[1])
+        got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(docs(spark, list(enumerate(texts)))).collect()}
+        monkeypatch.setattr(N, "compared", real)
+        made[n] = sum(seen)
+        if n == 150:
+            assert got == classes(texts)
+    assert made[600] < 8 * made[150]
+
+
+def test_stage_keeps_one_row_of_each(spark):
+    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (7, "k l m"), (7, "o p q"), (9, "a b c d  e f"), (None, "u v w x y z"), (None, "u  v w x y z"), (None, "other words"), (1, ""), (2, None)]
+    d = docs(spark, rows)
+    got = sorted(((r["doc_id"], " ".join((r["text"] or "").split())) for r in N.stage(spark, d, "").collect()), key=repr)
+    kept7 = [t for i, t in got if i == 7]
+    assert len(kept7) == 1
+    assert got == sorted([(5, "a b c d e f"), (7, kept7[0]), (None, "u v w x y z"), (None, "other words"), (1, ""), (2, "")], key=repr)
 
 
 def test_edge_rows(spark):

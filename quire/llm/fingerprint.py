@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
 from .common import arrow_batches, stored, table, whole_text
 
@@ -83,11 +84,23 @@ def duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return digests.join(stored(first, "classes"), "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "class_id")
 
 
-def bounds_of(docs: DataFrame, id_col: str, parts: int) -> list:
-    """At most ``parts`` - 1 ids that cut the table into ranges of similar size."""
+def order_key(docs: DataFrame, id_col: str):
+    """A column that rises with the id and has quantiles: the id itself if it
+    is a number or a time, else the six bytes after what all ids begin with."""
+    kind = docs.schema[id_col].dataType
+    if isinstance(kind, (NumericType, DateType, TimestampType)):
+        return F.col(id_col)
+    raw = F.col(id_col).cast("binary")
+    low, high = (bytes(x or b"") for x in docs.agg(F.min(raw), F.max(raw)).first())
+    shared = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+    return F.conv(F.rpad(F.hex(F.substring(raw, shared + 1, 6)), 12, "0"), 16, 10).cast("bigint")
+
+
+def bounds_of(docs: DataFrame, key, parts: int) -> list:
+    """At most ``parts`` - 1 values of ``key`` that cut the table into ranges of similar size."""
     if parts < 2:
         return []
-    found = docs.agg(F.percentile_approx(id_col, [i / parts for i in range(1, parts)], 10_000)).first()[0]
+    found = docs.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10_000)).first()[0]
     return sorted(set(found or []))
 
 
@@ -109,11 +122,12 @@ def successive(docs: DataFrame, flagged: DataFrame, id_col: str, text_col: str,
     each range is collected, one per range.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), whole_text(f"`{text_col}`").alias("text"))
-    bounds = bounds_of(rows, "id", parts)
+    key = order_key(rows, "id")
+    bounds = bounds_of(rows, key, parts)
     if bounds:
         # bounds up to the id, counted in whole blocks first, so the work per row grows with the square root of their number
         size = max(1, round(len(bounds) ** 0.5))
-        below = lambda values: F.size(F.filter(values, lambda b: b <= F.col("id")))
+        below = lambda values: F.size(F.filter(values, lambda b: b <= key))
         cuts = F.array(*[F.lit(b) for b in bounds])
         blocks = F.array(*[F.lit(b) for b in bounds[size - 1 :: size]])
         counted = F.transform(F.array(below(blocks) * size), lambda n: n + below(F.slice(cuts, n + 1, size)))[0]

@@ -39,11 +39,16 @@ SCRIPTS: tuple[tuple[str, tuple[tuple[int, int], ...]], ...] = (
 )
 OTHER = len(SCRIPTS) + 1
 #: Hashed trigrams; training sample (documents in all, characters of one);
-#: languages at most; smoothing; clip of a trigram's log score.
-BUCKETS, SAMPLE_DOCS, SAMPLE_CHARS, MAX_LANGS, ALPHA, CLIP = 1 << 18, 2400, 20_000, 64, 0.5, 4.0
+#: smoothing; clip of a trigram's log score.
+BUCKETS, SAMPLE_DOCS, SAMPLE_CHARS, ALPHA, CLIP = 1 << 18, 2400, 20_000, 0.5, 4.0
+#: Scores in a model: beyond 64 languages, trigrams share fewer buckets.
+MODEL_SCORES = 1 << 24
 #: Share of a language's letters that makes a script one of its own; cost of a
-#: word in a foreign script; cost of a switch, in nats.
-SCRIPT_SHARE, FOREIGN, SWITCH = 0.01, 20.0, 14.0
+#: word in a script that is not (more than any switches, so such a language is
+#: no candidate where another is); cost of a switch, in nats.
+SCRIPT_SHARE, FOREIGN, SWITCH = 0.01, 1000.0, 14.0
+#: Scores worked on at once.
+BLOCK_SCORES = 1 << 22
 #: Weights tried for the language that a text begins in.
 LEADS = (0.0, 0.1, 0.2, 0.3, 0.45, 0.6)
 FOLDS, HELD_OUT = 5, 0
@@ -86,6 +91,10 @@ def split_words(texts: Sequence[str]) -> Words:
     kind = script_table()[flat]
     ends = np.cumsum(sizes)
     begins = ends - sizes
+    joins = (flat >= 0x0300) & (flat <= 0x036F)  # combining marks go on with the letter before them
+    if joins.any():
+        joins[begins[(begins < len(flat)) & (sizes > 0)]] = False
+        kind = kind[np.maximum.accumulate(np.where(joins, 0, np.arange(len(flat))))]
     new = np.empty(len(flat), bool)
     if len(flat):
         new[0] = True
@@ -127,29 +136,35 @@ class Model:
     lead: float = 0.0
 
     def word_scores(self, words: Words) -> np.ndarray:
-        inner, last = trigrams(words)
-        n = len(words.first)
-        if not n:
-            return np.zeros((0, len(self.langs)))
-        out = np.add.reduceat(self.scores[inner], words.first, axis=0) + self.scores[last]
-        mine = self.scripts[words.script]
-        return out.astype(np.float64) - FOREIGN * (~mine & mine.any(axis=1, keepdims=True))
+        inner, last = (x & np.uint64(len(self.scores) - 1) for x in trigrams(words))
+        n, width = len(words.first), len(self.langs)
+        out = np.zeros((n, width))
+        ends = np.append(words.first[1:], len(words.codes))
+        a = 0
+        while a < n:  # blocks of whole words
+            b = max(a + 1, int(np.searchsorted(ends, words.first[a] + BLOCK_SCORES // max(1, width), "right")))
+            begin = words.first[a]
+            out[a:b] = np.add.reduceat(self.scores[inner[begin : ends[b - 1]]], words.first[a:b] - begin, axis=0) + self.scores[last[a:b]]
+            mine = self.scripts[words.script[a:b]]
+            out[a:b] -= FOREIGN * (~mine & mine.any(axis=1, keepdims=True))
+            a = b
+        return out
 
 
 def train(texts: Sequence[str], langs: Sequence[str]) -> Model:
     """Trigram scores from labelled texts, languages weighted alike."""
     names = sorted(set(langs))
-    if len(names) > MAX_LANGS:
-        raise ValueError(f"{len(names)} languages; the model is sized for {MAX_LANGS}")
+    buckets = min(BUCKETS, 1 << int(np.log2(max(1, MODEL_SCORES // max(1, len(names))))))
     if not names:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((OTHER + 1, 0), bool))
     number = {n: i for i, n in enumerate(names)}
-    counts = np.zeros((BUCKETS, len(names)))
+    texts = [unicodedata.normalize("NFC", t) for t in texts]
+    counts = np.zeros((buckets, len(names)))
     letters = np.zeros((OTHER + 1, len(names)))
     label = np.array([number[x] for x in langs], np.int64)
     for i in range(0, len(texts), 200):
         words = split_words(texts[i : i + 200])
-        inner, last = trigrams(words)
+        inner, last = (x & np.uint64(buckets - 1) for x in trigrams(words))
         own = label[i : i + 200][words.doc]
         lengths = np.diff(np.append(words.first, len(words.codes)))
         np.add.at(counts, (inner, np.repeat(own, lengths)), 1)
@@ -256,10 +271,12 @@ def pick(shares: np.ndarray, first: int, lead: float) -> int:
 def predict(model: Model, texts: Sequence[str]) -> list[tuple[str, float]]:
     """Language and score of each text. The score is the share of letters in
     the language's spans times the odds of its summed score over the next best.
-    Without a letter, or without a learned language: ``und``, 0."""
+    Texts are compared in their composed form (NFC). Of languages alike, the
+    first by name counts. Without a letter, or without a learned language:
+    ``und``, 0."""
     if not model.langs:
         return [("und", 0.0)] * len(texts)
-    shares, first, total, _, _ = coverage(model, texts)
+    shares, first, total, _, _ = coverage(model, [unicodedata.normalize("NFC", t) for t in texts])
     out = []
     for s, f, sums in zip(shares, first, total, strict=True):
         if s is None:
@@ -274,7 +291,8 @@ def predict(model: Model, texts: Sequence[str]) -> list[tuple[str, float]]:
 
 def spans_of(model: Model, texts: Sequence[str]) -> list[list[dict]]:
     """Spans ``start, stop, lang`` (code points) of each text: neighbouring
-    words of one language, from the first letter to the last."""
+    words of one language, from the first letter to the last; offsets are those
+    of the text as it is."""
     out: list[list[dict]] = [[] for _ in texts]
     if not model.langs:
         return out
@@ -296,18 +314,18 @@ def remainder(column: str, folds: int):
 
 def sample(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
     """The bounded training sample, ``text, lang``: at most ``SAMPLE_DOCS``
-    documents in all, as many of each language, by the order of a hash of the
-    id; only texts up to ``SAMPLE_CHARS`` characters."""
+    documents in all, as many of each language (of more languages than that,
+    one of each of the most frequent), by the order of a hash of the id, then of
+    the text; only texts up to ``SAMPLE_CHARS`` characters."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     rows = rows.where((remainder("id", folds) != held_out) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(MAX_LANGS + 1).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_DOCS).collect()
     each = SAMPLE_DOCS // max(1, len(sizes))
-    wanted = F.lit(0.0)
-    for r in sizes:
-        wanted = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 1.6 * each / r["n"]))).otherwise(wanted)
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 1.6 * each / r["n"] + 8 / r["n"])) for r in sizes], "lang string, wanted double")
+    rows = rows.join(F.broadcast(shares), "lang")  # at most SAMPLE_DOCS rows: a proven bound
     order = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
-    rows = rows.withColumn("order", order).where((F.col("order") < wanted) & (F.length("text") <= SAMPLE_CHARS))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))  # of the sample only
+    rows = rows.withColumn("order", order).where((F.col("order") < F.col("wanted")) & (F.length("text") <= SAMPLE_CHARS))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id", "text"))  # of the sample only
     return rows.withColumn("rank", rank).where(F.col("rank") <= each).select("text", "lang")
 
 
@@ -319,12 +337,14 @@ def learn(docs: DataFrame, **columns) -> Model:
 
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: Sequence[str] = ("doc_id",), spans: bool = False) -> DataFrame:
     """The ``keep`` columns with ``lang_pred``, ``score`` and, if asked for,
-    ``spans``. One row per input row, in place, without a shuffle; null texts
-    are empty. The model, of bounded size, is broadcast."""
+    ``spans``. One row per input row (repeated rows too), in place, without a
+    shuffle; null texts are empty; ``keep`` columns named like a result give
+    way to it. The model, of bounded size, is broadcast."""
     spark = docs.sparkSession
     arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], whole_text(f"`{text_col}`").alias("__li_text"))
+    made = {"lang_pred", "score", *(["spans"] if spans else [])}
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep if c.lower() not in made], whole_text(f"`{text_col}`").alias("__li_text"))
     fields = [f for f in rows.schema.fields if f.name != "__li_text"]
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "lang_pred string, score double" + (", spans array<struct<start:int,stop:int,lang:string>>" if spans else "")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("lang", pa.string())]))

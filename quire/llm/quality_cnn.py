@@ -215,8 +215,9 @@ def train(texts: Sequence[str], labels: Sequence[int], weights: Sequence[float]
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The bounded training sample ``text, quality, weight``: at most
     ``SAMPLE_EACH`` documents of each label from the training folds, by the
-    order of a hash of the id, of at most ``SAMPLE_CHARS`` characters. The
-    weight restores the labels' shares."""
+    order of a hash of the id, of at most ``SAMPLE_CHARS`` characters. Of rows
+    that repeat an id the least text counts, of labels the larger. The weight
+    restores the labels' shares."""
     marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (remainder("doc_id", FOLDS) != HELD_OUT))
     marked = marked.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sizes = {r["quality"]: r["n"] for r in marked.groupBy("quality").agg(F.count("*").alias("n")).collect()}  # two rows
@@ -229,7 +230,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_EACH).select("doc_id", "quality")
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
     # at most 2 * SAMPLE_EACH ids of 16 bytes: a proven bound
-    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     weight = F.lit(1.0)
     for q, n in sizes.items():
         weight = F.when(F.col("quality") == q, F.lit(n / min(n, SAMPLE_EACH))).otherwise(weight)

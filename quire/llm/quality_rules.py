@@ -22,6 +22,7 @@ from .common import drop_stored, stored, table, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
 WINDOW = 5
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed")
 #: Base rule: fewest words, and largest percentage of words in repeated windows.
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Groups with fewer documents join their language's other small groups; below
@@ -48,8 +49,7 @@ def statistics(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     Null texts are empty. Windows of five words are compared by a 64-bit hash
     inside one text. Input columns with these names are replaced.
     """
-    names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in names and c != text_col]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in STATISTICS and c != text_col]
     t = F.col("__t")
     rows = docs.select(*rest, whole_text(f"`{text_col}`").alias("__t"))
     hashes = F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
@@ -252,19 +252,26 @@ def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
     ``kept`` is false if the base rule fails, or if the squared distance is
     beyond the chi-square point of tail ``TAIL``. Documents that fail the base
     rule take no part in the estimates. Null languages and sources are values
-    of their own; an empty table gives no rows; copies count as rows.
+    of their own; an empty table gives no rows; copies count as rows. Groups of
+    fewer than ``MIN_GROUP`` documents are judged together with the other small
+    groups of their language; where these have fewer together, only the base
+    rule rejects. Input columns named like a result are replaced, all others
+    stay.
     """
-    # the two columns travel under names that nothing else has
-    rows = docs.withColumns({"__lg": F.col(f"`{lang_col}`").cast("string"), "__sr": F.col(f"`{source_col}`").cast("string")})
-    clash = [c for c in rows.columns if c in {"k", "start", "bin", "n", "distance", "kept", *(f"x{i}" for i in range(P))}]
-    rows = rows.drop(*clash)
-    stats = stored(statistics(rows, text_col=text_col), "stats")
+    made = {*STATISTICS, "distance", "kept", text_col}
+    rest = [c for c in docs.columns if c.lower() not in made]
+    # input columns travel under names that nothing else has
+    rows = docs.select(
+        F.col(f"`{text_col}`").alias("__text"), F.col(f"`{lang_col}`").cast("string").alias("__lg"), F.col(f"`{source_col}`").cast("string").alias("__sr"),
+        *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(rest)],
+    )
+    stats = stored(statistics(rows, text_col="__text"), "stats")
     judged = grouped(stats, "__lg", "__sr")
     found = estimates(judged.where("not base_failed"))
     out = with_groups(judged, found, ["k"], "left").withColumn("distance", _distance())
     fits = F.coalesce(F.col("distance") <= chi2_point(TAIL, P), F.lit(True))
-    keep = [F.col(f"`{c}`") for c in stats.columns if c not in ("__lg", "__sr")]
-    return out.select(*keep, "distance", (~F.col("base_failed") & fits).alias("kept"))
+    keep = [F.col(f"__c{i}").alias(c) for i, c in enumerate(rest)]
+    return out.select(*keep, *STATISTICS, "distance", (~F.col("base_failed") & fits).alias("kept"))
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table, whole_text
+from .common import arrow_batches, new_path, table, whole_text
 
 
 @dataclass(frozen=True)
@@ -42,6 +42,8 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
+#: Setting of the session that names a ledger to keep from run to run.
+LEDGER = "spark.quire.secrets.ledger"
 BASE_KINDS = ("assign", "access", "hex")
 RULES: tuple[Rule, ...] = (
     Rule("assign", 1, r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, re.I | re.A, (":", "=")),
@@ -50,8 +52,9 @@ RULES: tuple[Rule, ...] = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0, 0, ("-----BEGIN ",)),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0, 0, ("gh",)),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0, 0, ("xox",)),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 0, 0, ("eyJ",)),
-    Rule("basic_auth", 1, r"[a-z][a-z0-9+.-]*://[^\x00-\x20:/@]+:[^\x00-\x20:/@]+@", 0, 0, 0, ("://",)),
+    # a bounded header and scheme: where one begins, no unbounded run is read that the next beginning reads again
+    Rule("jwt", 2, r"\beyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 0, re.A, ("eyJ",)),
+    Rule("basic_auth", 2, r"[a-z][a-z0-9+.-]{0,30}://[^\x00-\x20:/@]+:[^\x00-\x20:/@]+@", 0, 0, 0, ("://",)),
 )
 
 #: From a private key's header to its END line, or, where that is missing, to the
@@ -188,10 +191,16 @@ def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
     return found.withColumn("text", F.when(F.size("secrets") > 0, clean).otherwise(F.col("text")))
 
 
+def session_ledger(spark) -> SecretLedger:
+    """The ledger that the setting ``LEDGER`` names, or else a new one."""
+    return SecretLedger(spark, spark.conf.get(LEDGER, None) or new_path(spark, "ledger"))
+
+
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
-    """All spans of all rules in every whole document, over a fresh ledger."""
+    """All spans of all rules in every whole document. Blobs that the session's
+    ledger knows are not scanned again; the others are added to it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = findings(docs, scan(docs))
+    out = findings(docs, session_ledger(spark).update(docs))
     n = {k: count_of(F.col("secrets"), k).alias(f"n_{k}") for k in BASE_KINDS}
     return out.select(
         "doc_id", *n.values(),
@@ -204,7 +213,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document stays; its secrets are replaced by
     ``<kind>``, private keys with their bodies, and ``n_chars`` follows the new
     text."""
-    found = findings(docs, scan(docs, STAGE_RULES), STAGE_RULES)
+    found = findings(docs, session_ledger(spark).update(docs, STAGE_RULES), STAGE_RULES)
     out = redact(docs, found)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 

@@ -184,16 +184,22 @@ def parse_head(data: bytes) -> tuple[dict[str, str], int] | None:
     text = re.sub(r"\r\n[ \t]+", " ", data[:end].decode("utf-8", "replace"))
     lines = text.split("\r\n")
     if not lines[0].startswith("WARC/"):
-        raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
+        raise Damaged(f"not a WARC record: {lines[0][:40]!r}")
     pairs = (line.partition(":") for line in lines[1:])
     return {k.strip().lower(): v.strip() for k, colon, v in pairs if colon}, end + 4
 
 
+class Damaged(ValueError):
+    """An archive holds something that is no whole record."""
+
+
 class Member:
-    """One gzip member, inflated no further than asked."""
+    """One gzip member, inflated no further than asked: a record, or a run of
+    them if the member doesn't tell its own length. ``data`` begins where the
+    current record does."""
 
     def __init__(self, stream, start: int):
-        self.stream, self.inflate, self.data, self.length = stream, zlib.decompressobj(31), b"", None
+        self.stream, self.inflate, self.length = stream, zlib.decompressobj(31), None
         stream.seek(start)
         first = stream.read(HEAD_BYTES)
         if first[3:4] and first[3] & 4:
@@ -204,66 +210,99 @@ class Member:
                 if name == b"sl" and n == 8:
                     self.length = struct.unpack_from("<I", first, at + 4)[0]
                 at += 4 + n
-        self.start, self.read = start, len(first)
+        self.start, self.read, self.over = start, len(first), False
         self.data = self.inflate.decompress(first)
 
-    def grow(self) -> bool:
-        more = self.stream.read(1 << 18) if not self.inflate.eof else b""
-        self.read += len(more)
-        self.data += self.inflate.decompress(more)
-        return bool(more)
+    def grow(self) -> bytes:
+        """More of the member, or nothing at its end."""
+        while not self.inflate.eof:
+            more = self.stream.read(1 << 18)
+            if not more:
+                raise Damaged("its gzip member is cut off")
+            self.read += len(more)
+            if out := self.inflate.decompress(more):
+                return out
+        return b""
 
     def head(self):
-        while (found := parse_head(self.data)) is None and self.grow():
-            pass
-        return found
+        while not self.over:
+            self.data = self.data.lstrip(b"\r\n")
+            if found := parse_head(self.data):
+                return found
+            more = self.grow()
+            if not more:
+                if self.data:
+                    raise Damaged("its header is cut off")
+                return None
+            self.data += more
+        return None
 
     def block(self, begin: int, length: int) -> bytes:
         parts, have = [self.data], len(self.data)
-        while have < begin + length and not self.inflate.eof and (more := self.stream.read(1 << 18)):
-            self.read += len(more)
-            parts.append(self.inflate.decompress(more))
-            have += len(parts[-1])
+        while have < begin + length and (more := self.grow()):
+            parts.append(more)
+            have += len(more)
         self.data = b"".join(parts)
+        if have < begin + length:
+            raise Damaged("its block is cut off")
         return self.data[begin : begin + length]
 
-    def end(self) -> int:
-        """Where the next member begins; inflates the rest only if no length is known."""
+    def skip(self, size: int) -> None:
+        """On to the record ``size`` bytes further. With a known length the
+        member holds no other, and nothing more is inflated."""
         if self.length:
-            return self.start + self.length
-        while not self.inflate.eof:
-            more = self.stream.read(1 << 18)
-            if not more:
-                break
-            self.read += len(more)
-            self.inflate.decompress(more)
-        return self.start + self.read - len(self.inflate.unused_data)
+            self.over, self.data = True, b""
+            return
+        while len(self.data) < size:
+            size -= len(self.data)
+            self.data = self.grow()
+            if not self.data:
+                raise Damaged("its block is cut off")
+        self.data = self.data[size:]
+
+    def end(self) -> int:
+        """Where the next member begins."""
+        return self.start + (self.length or self.read - len(self.inflate.unused_data))
 
 
 class Plain:
     """One record of an archive that is not compressed."""
 
     def __init__(self, stream, start: int):
-        self.stream, self.start = stream, start
+        self.stream, self.at, self.over = stream, start, False
         stream.seek(start)
-        self.data, self.total = stream.read(HEAD_BYTES), None
+        self.data = stream.read(HEAD_BYTES)
 
     def head(self):
-        while (found := parse_head(self.data)) is None:
+        while not self.over:
+            blank = len(self.data) - len(self.data.lstrip(b"\r\n"))
+            self.data, self.at = self.data[blank:], self.at + blank
+            if found := parse_head(self.data):
+                return found
             more = self.stream.read(HEAD_BYTES)
             if not more:
+                if self.data:
+                    raise Damaged("its header is cut off")
                 return None
             self.data += more
-        self.total = found[1] + int(found[0].get("content-length", 0)) + 4
-        return found
+        return None
 
     def block(self, begin: int, length: int) -> bytes:
         if len(self.data) < begin + length:
             self.data += self.stream.read(begin + length - len(self.data))
+        if len(self.data) < begin + length:
+            raise Damaged("its block is cut off")
         return self.data[begin : begin + length]
 
+    def skip(self, size: int) -> None:
+        if size > len(self.data):  # the payload was not read; its last byte tells whether it is there
+            self.stream.seek(self.at + size - 1)
+            if not self.stream.read(1):
+                raise Damaged("its block is cut off")
+        self.over, self.at = True, self.at + size
+
     def end(self) -> int:
-        return self.start + self.total
+        return self.at
 
 
 class WarcReader(DataSourceReader):
@@ -271,6 +310,7 @@ class WarcReader(DataSourceReader):
         self.path = options.get("path")
         self.payload = str(options.get("payload", "true")).lower() != "false"
         self.verify = str(options.get("verify", "false")).lower() == "true"
+        self.skip_damaged = str(options.get("damaged", "fail")).lower() == "skip"
         self.partition_bytes = int(options.get("partitionbytes", PARTITION_BYTES))
         self.filters: list[Filter] = []
 
@@ -306,16 +346,22 @@ class WarcReader(DataSourceReader):
                 at = 0
                 while at < size:
                     record = kind(stream, at)
-                    head = record.head()
-                    if head is None:
-                        break  # trailing bytes that are no record
-                    row = self.row(record, *head)
-                    if row:
-                        rows.append(row)
-                        held += len(row["payload"] or b"") + 1000
-                        if held > BATCH_BYTES:
-                            yield pa.RecordBatch.from_pylist(rows, schema=_READ_ARROW)
-                            rows, held = [], 0
+                    try:
+                        while (head := record.head()) is not None:
+                            row = self.row(record, *head)
+                            if row:
+                                rows.append(row)
+                                held += len(row["payload"] or b"") + 1000
+                                if held > BATCH_BYTES:
+                                    yield pa.RecordBatch.from_pylist(rows, schema=_READ_ARROW)
+                                    rows, held = [], 0
+                            record.skip(head[1] + int(head[0].get("content-length", 0)))
+                        if record.end() > size:
+                            raise Damaged("its member is cut off")
+                    except (Damaged, zlib.error) as error:
+                        if not self.skip_damaged:
+                            raise Damaged(f"{path}, record at byte {at}: {error}") from error
+                        break  # what follows can't be told apart
                     at = record.end()
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=_READ_ARROW)
@@ -331,7 +377,11 @@ class WarcReader(DataSourceReader):
             return None
         row |= {"headers": list(headers.items()), "payload": None, "http_length": None}
         if headers.get("content-type", "").startswith("application/http"):
-            block = record.block(begin, length if self.payload and row["record_type"] != "revisit" else min(length, HEAD_BYTES))
+            want = length if self.payload and row["record_type"] != "revisit" else min(length, HEAD_BYTES)
+            block = record.block(begin, want)
+            while b"\r\n\r\n" not in block and want < length:  # a long HTTP header
+                want = min(length, 4 * want)
+                block = record.block(begin, want)
             http, gap, body = block.partition(b"\r\n\r\n")
             if m := re.search(rb"(?im)^content-length:\s*(\d+)", http):
                 row["http_length"] = int(m[1])
@@ -388,9 +438,12 @@ def register(spark) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def read_warc(spark, path: str, *, payload: bool = True, verify: bool = False) -> DataFrame:
+def read_warc(spark, path: str, *, payload: bool = True, verify: bool = False, damaged: str = "fail") -> DataFrame:
+    """All records of the archives at ``path``. A record that is cut off or no
+    WARC record fails the read; with ``damaged="skip"`` the rest of its file is
+    left out instead. An empty folder gives no rows; repeated records all stay."""
     register(spark)
-    return spark.read.format(NAME).option("payload", str(payload).lower()).option("verify", str(verify).lower()).load(path)
+    return spark.read.format(NAME).option("payload", str(payload).lower()).option("verify", str(verify).lower()).option("damaged", damaged).load(path)
 
 
 def page_records(pages: DataFrame, *, min_bytes: int = 0) -> DataFrame:

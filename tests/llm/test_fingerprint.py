@@ -54,3 +54,14 @@ def test_classes(spark):
 def test_query_on_table(spark, sf):
     want = brute([(r["doc_id"], r["text"]) for r in table(sf, "documents")])
     assert sorted(map(tuple, P.op8_fingerprints(spark, sf).collect()), key=repr) == want
+
+
+def test_ids_that_are_no_numbers(spark):
+    rows = [(f"doc-{i:03d}", f"text {i % 7} " * (i % 5)) for i in range(60)] + [(None, "x"), ("doc-", "y"), ("doc-059z", None)]
+    d = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = {r["doc_id"]: r for r in P.compare_successive(d, parts=5).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or ""))
+    assert len(got) == len(rows)
+    for (i, t), (_, nxt) in zip(order, order[1:] + order[:1]):
+        t, nxt = t or "", nxt or ""
+        assert got[i]["edited_sha256"] == hashlib.sha256(P.edited(t, nxt).encode()).hexdigest()

@@ -74,6 +74,37 @@ def test_identify_keeps_rows(spark):
     assert L.identify(d.limit(0), model()).count() == 0
 
 
+def test_any_number_of_languages(spark):
+    names = [f"l{i:02d}" for i in range(70)]
+    rows = [(i * 100 + k, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + (i + j) % 26)}" for j in range(40)), n, "s", 0) for i, n in enumerate(names) for k in range(4)]
+    model = L.learn(docs(spark, rows))
+    assert model.langs == names and model.scores.size <= L.MODEL_SCORES
+    got = L.predict(model, [r[1] for r in rows])
+    assert sum(g[0] == r[2] for g, r in zip(got, rows)) > 0.95 * len(rows)
+    assert L.predict(model, [rows[0][1] * 3000])[0][0] == "l00"
+
+
+def test_combining_marks_and_clashing_names(spark):
+    import unicodedata
+
+    nfd = unicodedata.normalize("NFD", "cafés élève\u0301")
+    w = L.split_words([nfd, "\u0301a"])
+    assert [nfd[a:b] for a, b, d in zip(w.start, w.stop, w.doc) if d == 0] == nfd.split()
+    m = model()
+    assert L.predict(m, [unicodedata.normalize("NFD", FR + "été")]) == L.predict(m, [FR + "été"])
+    d = docs(spark, [(1, EN)]).withColumn("score", L.F.lit(9.0))
+    assert L.identify(d, m, keep=("doc_id", "score")).columns == ["doc_id", "lang_pred", "score"]
+
+
+def test_scripts_narrow_the_languages():
+    words = L.split_words(["дом the"])
+    m = model()
+    scores = m.word_scores(words)
+    ru, latin = m.langs.index("ru"), [m.langs.index(x) for x in ("en", "fr")]
+    assert scores[0].argmax() == ru and scores[1].argmax() in latin
+    assert all(scores[0, k] < scores[0, ru] - 500 for k in range(4) if k != ru) and scores[1, ru] < -500
+
+
 def test_held_out_accuracy(spark, sf):
     big = sf.replace("0.001", "0.01")
     truth = {r["doc_id"]: r["lang"] for r in table(big, "documents")}

@@ -6,7 +6,7 @@ import numpy as np
 
 from quire.llm import quality_rules as Q
 
-from .helpers import docs, table
+from .helpers import docs, rows_of, table
 
 
 def base(text):
@@ -92,3 +92,14 @@ def test_many_groups_are_joined_in_parts(spark, sf, monkeypatch):
 def test_no_python_in_plan(spark, sf):
     plan = Q.op6_quality_rules(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_columns_of_the_input_stay(spark):
+    rows = [(i, "good words in a line that says something here today " * 2, "en", "s", 7) for i in range(60)]
+    d = docs(spark, rows)
+    plain = rows_of(Q.judge(d))
+    names = ("k", "n", "x0", "m0", "logdet", "start", "bin", "__own", "c00")
+    out = Q.judge(d.withColumns({name: Q.F.col("doc_id") + 1000 for name in names}))
+    assert all(r[name] == r["doc_id"] + 1000 for r in out.collect() for name in names)
+    assert rows_of(out.drop(*names)) == plain
+    assert rows_of(Q.judge(d.withColumn("kept", Q.F.lit("mine")).withColumn("n_words", Q.F.lit(1)))) == plain

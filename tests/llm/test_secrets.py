@@ -111,3 +111,29 @@ def test_sql_agrees_on_hard_texts(spark, tmp_path):
     (tmp_path / "flat").mkdir()
     next((tmp_path / "documents.parquet").glob("*.parquet")).rename(tmp_path / "flat" / "documents.parquet")
     same_as_sql(S.op1_secret_scan(spark, str(tmp_path / "flat")), S.ORACLE, str(tmp_path / "flat"), ("documents",))
+
+
+def test_patterns_take_linear_time():
+    import time
+
+    ready = [(r, re.compile(r.pattern, r.flags)) for r in S.RULES]
+    for text in ("://" + "ab0" * 1_700_000, "eyJ" * 1_000_000, "eyJabcdefgh." * 200_000, "a+" * 2_000_000, "ghp_" * 1_000_000, "token" + " " * 3_000_000, "-----BEGIN " * 300_000):
+        began = time.process_time()
+        S.find_spans(text, ready)
+        assert time.process_time() - began < 20
+
+
+def test_query_and_stage_keep_to_the_session_ledger(spark, sf, tmp_path):
+    spark.conf.set(S.LEDGER, f"file://{tmp_path}/ledger")
+    try:
+        first = rows_of(S.op1_secret_scan(spark, sf))
+        size = S.session_ledger(spark).read().count()
+        assert size == len({r["text"] or "" for r in table(sf, "documents")})
+        assert rows_of(S.op1_secret_scan(spark, sf)) == first
+        assert S.session_ledger(spark).read().count() == size  # nothing was scanned again
+        S.stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).count()
+        grown = S.session_ledger(spark).read()
+        assert grown.count() == 2 * size
+        assert {tuple(r["scanned"]) for r in grown.select("scanned").distinct().collect()} == {tuple(r.key for r in S.RULES), ("pem@2",)}  # only the rule that differs
+    finally:
+        spark.conf.unset(S.LEDGER)

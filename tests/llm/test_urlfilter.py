@@ -60,6 +60,29 @@ def test_verdicts(spark):
     assert U.judge(pages.limit(0), U.RULES, listed).count() == 0
 
 
+def test_shards_are_exact(spark):
+    rng = random.Random(4)
+    universe = [f"k{i}" for i in range(3000)]
+    listed = rng.sample(universe, 700) + ["elsewhere"]
+    cascade = U.build_sharded(keys(spark, [*listed, listed[0], None]), keys(spark, [*universe, None]), max_bits=1024)
+    assert cascade.shards > 2 and len(cascade.levels) > 1
+    assert all(bits < 4 * 1024 for bits, _, _ in cascade.levels)
+    got = [r["key"] for r in cascade.listed(keys(spark, [*universe, universe[0], None])).collect()]
+    assert sorted(got) == sorted(set(listed) - {"elsewhere"})
+    assert U.build_sharded(keys(spark, []), keys(spark, ["a"])).listed(keys(spark, ["a"])).count() == 0
+
+
+def test_long_rule_lists_and_ties(spark):
+    pages = spark.createDataFrame(URLS, "page_id bigint, url string, host string")
+    rules = [*U.RULES, *(U.Rule("block", f"r{i}.org", f"/{i}/") for i in range(300)), U.Rule("allow", "net", "/es/"), U.Rule("allow", "b.cd", "/"), U.Rule("block", "cd", "/x/")]
+    more = spark.createDataFrame([(90, "http://r7.org/7/x", ""), (91, "http://b.cd/x/", "")], pages.schema)
+    out = U.judge(pages.unionByName(more), rules, keys(spark, U.LISTED))
+    assert rows_of(out) == rows_of(U.judge(pages.unionByName(more), rules, keys(spark, U.LISTED), max_bits=256))
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in out.collect()}
+    assert got[90] == ("r7.org/7/", "block") and got[8] == ("net/es/", "block")
+    assert got[91] == ("b.cd/", "allow")  # as long as cd/x/, but of the longer host
+
+
 def test_query_matches_sql(spark, sf):
     same_as_sql(U.op2_url_filter(spark, sf), U.ORACLE, sf)
 

@@ -77,6 +77,40 @@ def test_foreign_archives(spark, tmp_path):
     assert {r["headers"].get("x-long") for r in rows} == {"a b", None}
 
 
+def test_records_that_share_a_member(spark, tmp_path):
+    records = [W.record_bytes(f"r{i}", "response", "u", None, bytes([97 + i]) * n) for i, n in enumerate((5, 0, 700_000, 9))]
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"".join(records)) + gzip.compress(records[1]))
+    for payload in (True, False):
+        rows = W.read_warc(spark, f"file://{tmp_path}", payload=payload, verify=True).collect()
+        assert sorted((r["record_id"], r["http_length"]) for r in rows) == [("r0", 5), ("r1", 0), ("r1", 0), ("r2", 700_000), ("r3", 9)]
+    assert W.read_warc(spark, f"file://{tmp_path}").where("record_id = 'r3'").count() == 1
+
+
+def test_long_headers_without_payloads(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\n" + b"X-Long: " + b"x" * 20_000 + b"\r\nContent-Length: 5\r\n\r\nhello"
+    for kind in ("response", "revisit"):
+        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{kind}>\r\nContent-Type: application/http\r\nContent-Length: {len(http)}\r\nX-More: {'y' * 9000}\r\n\r\n".encode()
+        (tmp_path / f"{kind}.warc").write_bytes(head + http + b"\r\n\r\n")
+        (tmp_path / f"{kind}.warc.gz").write_bytes(W.gzip_member(head + http + b"\r\n\r\n"))
+    for payload in (True, False):
+        rows = W.read_warc(spark, f"file://{tmp_path}", payload=payload).collect()
+        assert len(rows) == 4 and {r["http_length"] for r in rows} == {5}
+
+
+def test_cut_off_archives_fail_or_are_left(spark, tmp_path):
+    import pytest
+
+    page = W.record_bytes("p", "response", "u", None, bytes(range(256)) * 400)
+    for name, data in (("a.warc.gz", W.gzip_member(page)), ("b.warc.gz", gzip.compress(page)), ("c.warc", page)):
+        folder = tmp_path / name.replace(".", "")
+        folder.mkdir()
+        (folder / name).write_bytes(data + data[: len(data) // 2])
+        for payload in (True, False):
+            with pytest.raises(Exception, match="cut off"):
+                W.read_warc(spark, f"file://{folder}", payload=payload).collect()
+        assert {r["record_id"] for r in W.read_warc(spark, f"file://{folder}", damaged="skip").collect()} == {"p"}
+
+
 def test_query_on_table(spark, sf):
     pages = table(sf, "pages")
     first = {}

@@ -21,7 +21,13 @@ from .vocabulary import (
 
 
 def _any(parts) -> str:
-    return f"(?:{'|'.join(parts)})"
+    """One of the phrases, for use in a pattern; any white space parts their words."""
+    literal = lambda p: p.replace(".", r"\.").replace(" ", WS + "+")
+    return f"(?:{'|'.join(literal(p) for p in sorted(parts, key=lambda p: (-len(p), p)))})"
+
+
+#: A text as one line: lower case, single spaces.
+flat = TEXT.sub(rf"{WS}+", " ").strip().lower()
 
 
 # ---- visible text, paragraphs, headings
@@ -49,8 +55,8 @@ any_bold_label = TEXT.has(_LABEL_IN) | TEXT.has(_LABEL_OUT)
 label_name = TEXT.extract(_LABEL_IN).where(TEXT.has(_LABEL_IN)).otherwise(TEXT.extract(_LABEL_OUT).where(TEXT.has(_LABEL_OUT))).strip().lower()
 
 # ---- captions
-opens_caption = visible.sub(rf"^{WS}+").has(rf"(?i)^\*{{0,2}}{_any(V.CAPTION_LABELS)}")
-is_figure_caption = TEXT.strip().has(rf"(?i)^\*{{0,2}}{_any(V.FIGURE_LABELS)}")
+opens_caption = visible.sub(rf"^{WS}+").has(rf"(?i)^\*{{0,2}}(?:{_any(V.FIGURE_WORDS + V.OTHER_CAPTIONS)}|fig\b)")
+is_figure_caption = TEXT.strip().has(rf"(?i)^\*{{0,2}}(?:{_any(V.FIGURE_WORDS)}|fig\b)")
 _TABLE = rf"^\*{{0,2}}{WS}*(?i:supp(?:l(?:ementary)?)?\.?{WS}+)?(?i:table)\b{WS}*"
 _TABLE_CAPTION = _TABLE + rf"[\p{{L}}\p{{N}}_]+(?:{WS}*[.:)–—-]|{WS}*\|{WS}*[A-Z(]|{WS}+[A-Z(]|{WS}*\*{{0,2}}{WS}*\z)"
 opens_table_caption = visible.sub(rf"^{WS}+").has(_TABLE_CAPTION)
@@ -72,8 +78,9 @@ has_caption_tag = TEXT.lower().has("<caption")
 _last = TEXT.extract(r"(?s)^(?:.*,)?([^,]*)\z")
 has_place_tail = _last.has(rf"^{WS}*\p{{Lu}}\S*(?:{WS}+(?:\p{{Lu}}\S*|[oO][fF])){{0,3}}{WS}*\z")
 ends_with_country = _last.sub(r"\b\d[\d-]*\b").strip().lower().isin(COUNTRIES)
-has_institution = TEXT.has(rf"(?i)\b{_any(V.INSTITUTIONS)}\b")
-opens_institution = TEXT.has(rf"(?i)^(?:the\s+)?{_any(V.INSTITUTIONS + V.INSTITUTION_OPENERS)}\b")
+_STEM = rf"{_any(V.INSTITUTION_STEMS)}[\p{{L}}\p{{N}}_]*"
+has_institution = TEXT.has(rf"(?i)\b(?:{_any(V.INSTITUTIONS)}|{_STEM})\b")
+opens_institution = flat.sub("^the ").has(rf"^(?:{_any(V.INSTITUTIONS + V.INSTITUTION_OPENERS)}|{_STEM})\b")
 has_postal_tail = TEXT.extract(r"(?s)^(?:.*,)?([^,]*,[^,]*)\z").has(r"\b\d{4,6}\b")
 is_affiliation = every(
     TEXT.length() <= 300,
@@ -100,8 +107,9 @@ is_value_heading = heading_title.isin(tuple(x for x in PUBLICATION_LABELS if x n
 _NUMBER = r"^\(?([1-9]\d?(?:\.\d{1,2})*)[.)]\s+\S"
 section_number = visible.strip().extract(_NUMBER)
 is_top_section = folded.sub(rf"^\d+(?:[.)]\d*)*[.)]?{WS}+").isin(TOP_SECTIONS)
-is_reference_heading = TEXT.has(rf"(?i)^<h\d[^>]*>\s*(?:\d+\.?\s+)?{_any(V.REFERENCE_TITLES)}\b")
-opens_references = TEXT.has(r"(?i)^(?:<h\d[^>]*>\s*References\s*</h\d>|<p>\[1\])")
+_untagged = flat.of(visible)
+is_reference_heading = TEXT.has(r"(?i)^<h\d") & _untagged.sub(r"^\d+\.? ").has(rf"^{_any(V.REFERENCE_TITLES)}\b")
+opens_references = (TEXT.has(r"(?i)^<h\d") & _untagged.is_("references")) | TEXT.has(r"(?i)^<p>\[1\]")
 
 # ---- bylines (on a paragraph's inner HTML)
 _SEGMENT = rf"\p{{Lu}}[^\s\d,;]*(?:{WS}+[^\s\d,;]+){{0,4}}"
@@ -131,20 +139,30 @@ is_byline = every(
 )
 
 # ---- front matter and stray metadata
-_MONTH = rf"{_any(V.MONTHS)}\.?"
-DATE = rf"\b(?:\d{{1,2}}\s+{_MONTH}\s+\d{{4}}|{_MONTH}\s+\d{{1,2}},?\s+\d{{4}})"
-_OTHER_TOKEN = "|".join(V.METADATA_MARKS)
+# months by their names, or what these begin with
+_MONTH = rf"{_any({*V.MONTHS, *(m[:3] for m in V.MONTHS), 'sept'})}\.?"
+DATE = rf"\b(?:\d{{1,2}}\s+{_MONTH}|{_MONTH}\s+\d{{1,2}},?)\s+\d{{4}}\b"
+_EMAIL, _LINKED, _CALL = r"[^\s@]@[^\s@]+\.[^\s@]", rf"{_any(('http://', 'https://'))}|doi:\s*10\.\d{{4}}", rf"\b{_any(V.PHONE_LABELS)}\b"
+_OTHER_TOKEN = f"{_EMAIL}|{_LINKED}|{_CALL}"
 date_tokens = TEXT.count(rf"(?i){DATE}")
 metadata_tokens = TEXT.count(rf"(?i){_OTHER_TOKEN}|{DATE}")
 has_non_date_token = TEXT.has(rf"(?i){_OTHER_TOKEN}")
 opens_metadata = TEXT.has(rf"(?i)^{_any(V.FRONT_OPENERS)}\b")
 is_affected = TEXT.has(rf"^[{SUP_DIGITS}{MARKERS.replace('¶', '')}]")
-EQUAL = rf"contributed\s+equally(?:\s+to\s+(?:this|the)\s+{_any(V.SHARED_WORK)})?\s*\.?\s*\z"
-is_equal_contribution = TEXT.has(rf"(?i){EQUAL}")
+# authors contributed equally: the last words, or all but what they contributed to
+_shared = flat.sub(r"[ .]+\z")
+is_equal_contribution = _shared.has(r"contributed equally\z") | every(
+    _shared.has("contributed equally to th"),
+    _shared.extract("contributed equally to (?:this|the) ([a-z]+)\\z").isin(V.SHARED_WORK),
+)
+_dated = flat.extract(r"^([a-z]+\b ?:? ?)")  # a label that opens the line
 is_metadata_phrase = either(
-    *[TEXT.has(f"(?i){p}") for p in (V.SUPPORT_NOTE, V.DOI_LINE, V.ONLINE_LINE, V.VOLUME_LINE)],
+    flat.has(_any(V.SUPPORT_NOTES)),
+    flat.sub(r"^doi ?:? ?").has(r"^10\.\d") & flat.has("^doi"),
+    flat.has(r"^published online\b"),
+    flat.has(rf"^{_any(V.VOLUME_LABELS)} ?\d") & flat.has(rf"\b{_any(V.PAGE_LABELS)} ?\d"),
     # a label and a date that ends its entry
-    TEXT.has(rf"(?i)^\s*{_any(V.HISTORY_OPENERS)}\b\s*:?\s*{DATE}[ \t]*(?:\n|;|\z)"),
+    _dated.sub(r"[ :]+\z").isin(V.HISTORY_OPENERS) & TEXT.has(rf"(?i)^\s*[a-z]+\s*:?\s*{DATE}[ \t]*(?:\n|;|\z)"),
     is_equal_contribution,
 )
 is_publication_label = label_name.isin(PUBLICATION_LABELS)
@@ -178,9 +196,14 @@ opens_sup_digits = TEXT.has(rf"^[{SUP_DIGITS}]{{1,3}}(?:{WS}+\S|[^{SUP_DIGITS}A-
 is_late_footnote = opens_sup_digits & ~is_affiliation.of(visible.strip())
 leading_sup = TEXT.extract(r"^<sup>([^<]{1,3})</sup>").strip().where(opens_short_sup)
 is_note_label = TEXT.has(rf"[\p{{L}}{NOTE_SYMBOLS}]")
-_FROM, _DATA = _any(V.ATTRIBUTIONS), _any(V.SOURCE_NOUNS)
-_SOURCE = _any((r"sources?\s*:", rf"{_DATA}\s+(?:(?:were|are|was|is)\s+)?{_any(V.ATTRIBUTIONS + V.DERIVATIONS)}\s+from\b", rf"{_FROM}\s+from\b", rf"{_DATA}\s+from\b"))
-is_source_note = ((visible.strip().length() <= 200) & visible.strip().has(rf"(?i)^\s*{_SOURCE}")).of(plain_paragraph)
+# a note's first words say where data are from, with or without a verb
+_stated = flat.sub(rf"^({_any(V.SOURCE_NOUNS)}) (?:is|are|was|were) ", r"\1 ")
+_origin = either(
+    _stated.has("^sources? ?:"),
+    _stated.has(rf"^(?:{_any(V.SOURCE_NOUNS)} )?{_any(V.ATTRIBUTIONS)} from\b"),
+    _stated.has(rf"^{_any(V.SOURCE_NOUNS)} (?:{_any(V.DERIVATIONS)} )?from\b"),
+)
+is_source_note = ((visible.strip().length() <= 200) & _origin.of(visible)).of(plain_paragraph)
 
 # ---- furniture
 furniture_key = visible.sub(r"\d+").sub(r"[^\p{L}\p{N}_\s]").sub(rf"{WS}+", " ").strip().lower()
@@ -190,7 +213,8 @@ furniture_candidate = furniture_key.of(paragraph_or_heading).where(_candidate.of
 furniture_sentence = ends_sentence.of(paragraph_or_heading)
 furniture_verbatim = visible.strip().of(paragraph_or_heading)
 is_page_number = visible.strip().has(r"^\d{1,4}\z").of(paragraph_or_heading)
-is_license_footer = visible.has(rf"(?is)©\s*\d{{4}}\b.*?{_any(V.LICENSE_TERMS)}").of(plain_paragraph)
+_licensed = _untagged.extract(r"© ?\d{4}\b(.*)")  # what stands behind the year
+is_license_footer = (_licensed.has(_any(V.LICENSE_TERMS)) | _licensed.has(r"\bcc by\b")).of(plain_paragraph)
 
 # ---- merging
 is_legend = ((visible.strip().length() <= 200) & (visible.strip().count(r"\b[A-Z][A-Za-z0-9]{1,4}:\s") >= 2)).of(plain_paragraph)
@@ -210,9 +234,11 @@ opens_note_symbol = TEXT.has(rf"^[{NOTE_SYMBOLS}]")
 may_continue = every(~opens_enumeration, ~bold_label, ~opens_caption, ~opens_sup_digits.of(_opening), ~opens_note_symbol.of(_opening))
 
 # ---- references
-_REFERENCE = r"(?s)^<p>\s*(\d{1,3})[.)\]]?\s+([A-Z].*)</p>\n?\z"
-is_numbered_reference = TEXT.has(_REFERENCE)
-reference_number, reference_text = TEXT.extract(_REFERENCE, 1), TEXT.extract(_REFERENCE, 2).strip()
+_entry, _nothing = plain_paragraph.strip(), TEXT.sub(r"(?s).+")
+_MARK = r"^\d{1,3}[.)\]]?\s+"
+is_numbered_reference = _entry.has(_MARK + "[A-Z]")
+reference_number = _entry.extract(r"^(\d+)").where(is_numbered_reference).otherwise(_nothing)
+reference_text = _entry.sub(_MARK).where(is_numbered_reference).otherwise(_nothing)
 is_ordered_list = TEXT.has(r"(?is)^<ol\b[^>]*>.*</ol>\n?\z")
 is_reference_tail = plain_paragraph.exists() & ~is_numbered_reference & _opening.of(plain_paragraph).has(r"^\p{Ll}")
 

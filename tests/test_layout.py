@@ -41,7 +41,7 @@ def test_folding():
 def test_lines_turns_runs():
     assert L.lines_of([(0, 0, 5, 8), None, (6, 2, 9, 10), (0, 20, 4, 28)]) == [(0, 20, 4, 28), (0, 0, 9, 10)]
     assert (L.main_turn([0, 90, 90, 0]), L.main_turn([90, 270]), L.main_turn([])) == (0, 90, 0)
-    assert (L.run_end([1, 1, 9], 0, 2), L.run_end([9], 0, 2), L.run_end([1], 1, 2)) == (2, 0, 1)
+    assert [L.run_around(*x) for x in (([1, 1, 9], 0, 0, 2), ([9], 0, 0, 2), ([1], 1, 1, 2), ([1, 9, 1, 9, 1], 2, 3, 2), ([], 0, 0, 2))] == [(0, 2), (0, 0), (0, 1), (2, 3), (0, 0)]
 
 
 def test_locating_tables():

@@ -9,8 +9,9 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from .errors import ConversionError, ReaderUnavailable
+from .functions.words import dictionary, no_words
+from .plans.convert import convert
 from .plans.document import inline_sink, parse_documents
-from .plans.recovery import pages_to_read
 from .sources import pdf, reader, sinks, transcripts
 
 
@@ -22,27 +23,30 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--reader-url", help="root of the page reader's interface")
     parser.add_argument("--reader-model")
     parser.add_argument("--image-dir", type=Path, help="write figures there instead of into the HTML")
+    parser.add_argument("--words", type=Path, help="a word list, one a line, that decides on hyphens at line ends (default: /usr/share/dict/words, if there)")
     args = parser.parse_args(argv)
     if not args.input.is_file():
         parser.error(f"not found: {args.input}")
     output = args.output or args.input.with_suffix(".html")
+    # one document: its figures go to the folder itself
+    folder = sinks.folder_sink(args.image_dir.resolve().as_uri()) if args.image_dir else None
+    sink = (lambda data, mime, number: folder(data, mime, number)) if folder else inline_sink
+    words = args.words or Path("/usr/share/dict/words")
+    known = dictionary(words.read_text(encoding="utf-8").split()) if words.is_file() else no_words
     spark = SparkSession.builder.master("local[*]").config("spark.ui.enabled", "false").getOrCreate()
     try:
         if args.input.suffix.lower() == ".pdf":
             pdf.library()
             pdf.register(spark)
-            reader.Reader.connect(args.reader_url, args.reader_model)
-            source = spark.read.format(pdf.NAME).load(args.input.resolve().as_uri()).persist()
             url, model = args.reader_url, args.reader_model
-            read = reader.read_pages(pages_to_read(source), lambda: reader.Reader.connect(url, model))
-            pages = source.withColumnRenamed("text", "layer").join(read, ["doc_id", "page_no"], "left")
-            failed = read.where("error is not null").first()
-            if failed:
+            reader.Reader.connect(url, model)
+            source = spark.read.format(pdf.NAME).option("skipcovers", "true").load(args.input.resolve().as_uri())
+            documents, failures = convert(source, lambda: reader.Reader.connect(url, model), known, sink=sink)
+            if failed := failures.first():
                 raise ReaderUnavailable(failed["error"]) if failed["disposition"] == "retry" else ConversionError(failed["error"])
         else:
-            pages = transcripts.read_transcripts(spark, args.input.resolve().as_uri())
-        sink = sinks.folder_sink(args.image_dir.resolve().as_uri()) if args.image_dir else inline_sink
-        done = parse_documents(pages, sink=sink).first()
+            documents = parse_documents(transcripts.read_transcripts(spark, args.input.resolve().as_uri()), known, sink=sink)
+        done = documents.first()
     except ConversionError as e:
         print(f"error: {e}", file=sys.stderr)
         return 1

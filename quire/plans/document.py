@@ -244,15 +244,14 @@ def parse_documents(pages: DataFrame, known: Dictionary = no_words, *, sink: Sin
     """``doc_id, html, title, byline, doi`` for a relation of pages: ``doc_id,
     page_no, md`` and, where there are any, ``layer`` (embedded text) and
     ``width, height, pixels`` (the raster, for figures; see ``with_crops`` for
-    ``connect``). Null markdown is an empty page; extra columns are ignored; a
+    ``connect``) or ``width, height, crops`` (what ``with_crops`` gives). A sink
+    with ``for_document`` is asked for one of each document. Null markdown is an empty page; extra columns are ignored; a
     document without text is empty."""
-    optional = {"layer": "string", "width": "int", "height": "int", "pixels": "binary"}
+    cut = "array<struct<place:int,png:binary>>"
+    optional = {"layer": "string", "width": "int", "height": "int", "pixels": "binary", "crops": cut}
     have = {c: F.col(c) if c in pages.columns else F.lit(None) for c in optional}
     rows = pages.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page_no").cast("int").alias("page_no"), F.coalesce("md", F.lit("")).alias("md"), *[have[c].cast(t).alias(c) for c, t in optional.items()])
-    if "pixels" in pages.columns:
-        rows = with_crops(rows, connect)
-    else:
-        rows = rows.drop("pixels").withColumn("crops", F.lit(None).cast("array<struct<place:int,png:binary>>"))
+    rows = with_crops(rows.drop("crops"), connect) if "pixels" in pages.columns and "crops" not in pages.columns else rows.drop("pixels")
 
     def one(table: pa.Table) -> pa.Table:
         own = sorted(table.to_pylist(), key=lambda r: (r["page_no"] is not None, r["page_no"], r["md"]))
@@ -260,11 +259,12 @@ def parse_documents(pages: DataFrame, known: Dictionary = no_words, *, sink: Sin
         running = L.recurring_lines(layers)
         mds = [L.reconciled(r["md"], x, running) for r, x in zip(own, layers, strict=True)]
         start = article_start(mds)
+        put = sink.for_document(own[0]["doc_id"] or "") if hasattr(sink, "for_document") else sink
         blocks: list[list[str]] = []
         for r, md in list(zip(own, mds, strict=True))[start:]:
             drawn = sum(b.startswith("<figure><img") for p in blocks for b in p)
             crops = {c["place"]: c["png"] for c in r["crops"] or []}
-            blocks.append(page_html(md, (r["height"], r["width"]) if r["height"] else None, crops, sink, known, drawn))
+            blocks.append(page_html(md, (r["height"], r["width"]) if r["height"] else None, crops, put, known, drawn))
         done = assemble(blocks, known)
         doi = document_doi(layers[start], mds[start])
         return pa.table({"doc_id": [own[0]["doc_id"]], "html": [done.html], "title": [done.title], "byline": [done.byline], "doi": pa.array([doi], pa.string())})

@@ -2,7 +2,9 @@
 
 ``format("quire_pdf")`` gives one row per page with its raster and glyph layer;
 partitions are files.  ``option("glyphs", "false")`` reads the text only, and
-``option("pixels", "false")`` renders nothing.  The library is optional and is
+``option("pixels", "false")`` renders nothing;
+``option("skipcovers", "true")`` leaves out the pages before the first that has
+a text layer to speak of.  The library is optional and is
 looked for only when a file is read.
 """
 
@@ -16,6 +18,7 @@ import pyarrow.fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..errors import BadInput
+from ..functions.blocks import is_trivial_layer
 from ..functions.layout import snapped
 from ..functions.pixels import fitted, render_scale
 
@@ -38,6 +41,14 @@ def library():
     return pypdfium2
 
 
+def text_of(page) -> str:
+    text = page.get_textpage()
+    try:
+        return str(text.get_text_range())
+    finally:
+        text.close()
+
+
 def glyphs(page) -> tuple[str, list, list, list]:
     """Characters, boxes (null if empty), quarter turns and weights of a page;
     a glyph of several characters gives each its values."""
@@ -70,6 +81,7 @@ class PdfFile(InputPartition):
 class PdfReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
+        self.skip_covers = str(options.get("skipcovers", "false")).lower() == "true"
         self.glyphs, self.pixels = (str(options.get(k, "true")).lower() != "false" for k in ("glyphs", "pixels"))
 
     def partitions(self):
@@ -84,7 +96,9 @@ class PdfReader(DataSourceReader):
         fs, _ = pafs.FileSystem.from_uri(self.path)
         with fs.open_input_file(partition.path) as f:
             data = f.read()
-        name = partition.path.rpartition("/")[2].rpartition(".")[0]
+        _, root = pafs.FileSystem.from_uri(self.path)
+        name = partition.path.removeprefix(root.rstrip("/") + "/") if partition.path != root else root.rpartition("/")[2]
+        name = name.removesuffix(".pdf")
         try:
             pdf = library().PdfDocument(data)
         except BadInput:
@@ -92,7 +106,10 @@ class PdfReader(DataSourceReader):
         except Exception as e:
             raise BadInput(f"could not open {partition.path}") from e
         try:
+            first = next((n for n, page in enumerate(pdf) if not is_trivial_layer(text_of(page))), 0) if self.skip_covers else 0
             for n, page in enumerate(pdf):
+                if n < first:
+                    continue  # neither rendered nor read
                 yield pa.RecordBatch.from_pylist([self.row(name, n, page)], schema=_ARROW)
         finally:
             pdf.close()
@@ -110,9 +127,7 @@ class PdfReader(DataSourceReader):
         if self.glyphs:
             row["text"], row["boxes"], row["turns"], row["weights"] = glyphs(page)
         else:
-            text = page.get_textpage()
-            row["text"] = str(text.get_text_range())
-            text.close()
+            row["text"] = text_of(page)
         return row
 
 

@@ -15,7 +15,7 @@ import time
 import urllib.error
 import urllib.request
 import warnings
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
 from email.message import Message
@@ -192,29 +192,46 @@ class Reader:
         finally:
             pool.shutdown(wait=False, cancel_futures=True)
 
+    def read_each(self, images: Iterable[np.ndarray], tokens: int = NEW_TOKENS) -> list[str | ConversionError]:
+        """As ``read_all``, but a failure takes the place of its page."""
+
+        def one(image: np.ndarray) -> str | ConversionError:
+            try:
+                return self.read(image, tokens)
+            except ConversionError as e:
+                return e
+
+        with ThreadPoolExecutor(self.in_flight) as pool:
+            return list(pool.map(one, images))
+
 
 def as_image(pixels: bytes, width: int, height: int) -> np.ndarray:
     return np.frombuffer(pixels, np.uint8).reshape(height, width, -1)
 
 
+def outcome(result: str | ConversionError) -> dict:
+    """``md, error, disposition`` of a page."""
+    failed = isinstance(result, ConversionError)
+    return {"md": None if failed else result, "error": str(result) if failed else None, "disposition": result.disposition if failed else None}
+
+
 def read_pages(images: DataFrame, connect: Callable[[], Reader] = Reader.connect) -> DataFrame:
     """``doc_id, page_no, md, error, disposition`` for a relation of images (see
     ``schema.IMAGES``). Filter pages before this: nothing is pushed through it.
-    The number of partitions bounds the requests in flight."""
+    A task has as many requests in flight as its reader allows; the tasks that
+    run at once multiply that. Pages are read once: store the result."""
     ddl = "doc_id string, page_no int, md string, error string, disposition string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = None
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                got = {"doc_id": row["doc_id"], "page_no": row["page_no"], "md": None, "error": None, "disposition": None}
-                try:
-                    reader = reader or connect()
-                    got["md"] = reader.read(as_image(row["pixels"], row["width"], row["height"]))
-                except ConversionError as e:
-                    got |= {"error": str(e), "disposition": e.disposition}
-                out.append(got)
+            rows = batch.to_pylist()
+            try:
+                reader = reader or connect()
+                results = reader.read_each(as_image(r["pixels"], r["width"], r["height"]) for r in rows)
+            except ConversionError as e:  # no reader
+                results = [e] * len(rows)
+            out = [{"doc_id": r["doc_id"], "page_no": r["page_no"], **outcome(x)} for r, x in zip(rows, results, strict=True)]
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.string()), ("page_no", pa.int32()), ("md", pa.string()), ("error", pa.string()), ("disposition", pa.string())]))
 
     images.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")

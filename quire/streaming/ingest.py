@@ -8,17 +8,10 @@ skip nor repeat one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.document import parse_documents
-
-
-def pages_of(files: DataFrame) -> DataFrame:
-    """``doc_id, page_no, md`` of whole transcript files (``doc_id, value``)."""
-    parts = F.split("value", r"(?m)^===== PAGE \d+ =====[ \t]*\r?$", -1)
-    pages = files.select("doc_id", F.posexplode(parts).alias("n", "md")).where("n > 0")
-    return pages.select("doc_id", (F.col("n") - 1).cast("int").alias("page_no"), F.regexp_replace("md", r"^[\r\n]+|[\r\n]+\z", "").alias("md"))
+from ..sources.transcripts import document_id, pages_of
 
 
 def ingest(spark: SparkSession, incoming: str, documents: str, checkpoint: str, *, once: bool = True) -> StreamingQuery:
@@ -26,7 +19,7 @@ def ingest(spark: SparkSession, incoming: str, documents: str, checkpoint: str,
     ``documents``. With ``once``, what is there is converted, then it stops. A
     batch that runs twice overwrites its own partition."""
     files = spark.readStream.format("text").option("wholetext", "true").load(incoming)
-    files = files.select(F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1).alias("doc_id"), "value")
+    files = files.select(document_id(spark, incoming).alias("doc_id"), "value")
 
     def write(batch: DataFrame, number: int) -> None:
         parse_documents(pages_of(batch)).write.mode("overwrite").parquet(f"{documents}/batch={number}")

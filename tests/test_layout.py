@@ -2,9 +2,12 @@
 
 import base64
 import json
+import os
 import sys
+import threading
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,6 +17,7 @@ from quire import errors
 from quire import queries as Q
 from quire.functions import layout as L
 from quire.functions import pixels as X
+from quire.plans import convert as C
 from quire.plans import recovery as V
 from quire.sources import pdf, reader, serve, sinks, transcripts
 from quire.streaming import ingest
@@ -237,7 +241,13 @@ TEXT = "preamble\n===== PAGE 1 =====\n# A Title\n\nAnn Lee, Bo Ray\n\n## Abstrac
 def test_transcripts(spark, tmp_path):
     (tmp_path / "doc1.raw.md").write_text(TEXT)
     got = sorted(map(tuple, transcripts.read_transcripts(spark, tmp_path.as_uri()).collect()))
-    assert got == [("doc1", 0, "# A Title\n\nAnn Lee, Bo Ray\n\n## Abstract\n\nWe did."), ("doc1", 1, "## Introduction\n\nBody text.")]
+    assert got == [("doc1.raw", 0, "# A Title\n\nAnn Lee, Bo Ray\n\n## Abstract\n\nWe did."), ("doc1.raw", 1, "## Introduction\n\nBody text.")]
+    for place, stem in (("x", "paper.vx"), ("y", "paper.vy"), ("y", "doc1.raw")):
+        (tmp_path / place).mkdir(exist_ok=True)
+        (tmp_path / place / f"{stem}.md").write_text(TEXT)
+    ids = lambda path: sorted({r["doc_id"] for r in transcripts.read_transcripts(spark, path).collect()})
+    assert ids(f"{tmp_path}/*/*.md") == ["x/paper.vx", "y/doc1.raw", "y/paper.vy"]  # equal names in two folders are two documents
+    assert ids(f"{tmp_path}/*.md") == ["doc1.raw"] and ids(f"{tmp_path}/x/paper.vx.md") == ["paper.vx"] and ids(str(tmp_path / "y")) == ["doc1.raw", "paper.vy"]
 
 
 GLYPHS = "doc_id string, page_no int, md string, text string, boxes array<array<double>>, turns array<int>, weights array<int>, page_width double, page_height double, width int, height int, pixels binary"
@@ -309,9 +319,69 @@ def test_service():
 def test_sinks(spark, tmp_path):
     put = sinks.folder_sink((tmp_path / "figs").as_uri())
     assert put(b"png", "image/png", 3) == "figs/fig_003.png" and (tmp_path / "figs" / "fig_003.png").read_bytes() == b"png"
-    docs = spark.createDataFrame([("a/b", "<p>é</p>"), ("c", "")], "doc_id string, html string")
-    sinks.write_html(docs, (tmp_path / "out").as_uri()).collect()
-    assert (tmp_path / "out" / "a_b.html").read_text("utf-8") == "<p>é</p>" and (tmp_path / "out" / "c.html").read_text() == ""
+    docs = spark.createDataFrame([("a/b", "<p>é</p>"), ("c", ""), ("a_b", "other"), ("a b", "third")], "doc_id string, html string")
+    paths = {r["doc_id"]: r["path"] for r in sinks.write_html(docs, (tmp_path / "out").as_uri()).collect()}
+    assert len(set(paths.values())) == 4 and Path(paths["a/b"]).read_text("utf-8") == "<p>é</p>"
+    assert (tmp_path / "out" / "a_b.html").read_text() == "other" and (tmp_path / "out" / "c.html").read_text() == ""
+    one, two = put.for_document("d/1"), put.for_document("d_1")
+    assert one(b"1", "image/png", 1) != two(b"2", "image/png", 1) == "figs/d_1/fig_001.png"
+    assert (tmp_path / "figs" / "d_1" / "fig_001.png").read_bytes() == b"2"
+
+
+def test_pages_of_pdfs_are_read_once(spark, tmp_path):
+    """From rasters and glyphs to documents: one request a page, tables, figures and crops of two documents."""
+    intro = layer(["## Introduction", "plain text of the page that goes on"])
+    figure = layer(["text above here that is long enough", *[""] * 8, "Figure 2. Growth of something", "body text below the caption"])
+    bold = layer(["alpha beta", "gamma delta"], weight=700)
+    table = "<table><tr><td>alpha</td><td>beta</td></tr><tr><td>gamma</td><td>delta</td></tr></table>"
+    mds = ["# T\n\n## Introduction\n\ntext", "body text", f"x\n\n{table}"]
+    crop = "![image](i.png)100,100,900,900\n\nFigure 2. Growth of something"
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    class Fake:
+        def read(self, part):
+            (seen / f"crop-{os.getpid()}-{id(part)}-{len(list(seen.iterdir()))}").touch()
+            return crop
+
+        def read_each(self, images):
+            out = []
+            for part in images:
+                doc, n = int(part[0, 0, 0]), int(part[0, 0, 1])
+                (seen / f"page-{doc}-{n}-{len(list(seen.iterdir()))}").touch()
+                out.append(errors.ReaderResponse("no content") if doc == 3 and n == 1 else mds[n])
+            return out
+
+    rows = []
+    for doc in (1, 2, 3):
+        for n, page in enumerate((intro, figure, bold)):
+            raster = np.full((800, 600, 3), 255, np.uint8)
+            raster[200:500, 100:500] = 0
+            raster[0, 0, :2] = doc, n
+            rows.append((f"x/{doc}", n, 600, 800, raster.tobytes(), page.text, [b and list(b) for b in page.boxes], list(page.turns), list(page.weights), *map(float, page.size)))
+    source = spark.createDataFrame(rows, pdf.SCHEMA).repartition(3)
+    documents, failures = C.convert(source, Fake, sink=sinks.folder_sink((tmp_path / "figs").as_uri()))
+    got = {r["doc_id"]: r["html"] for r in documents.collect()}
+    assert [(r["doc_id"], r["page_no"], r["disposition"]) for r in failures.collect()] == [("x/3", 1, "retry_capped")]
+    assert sorted(got) == ["x/1", "x/2"]
+    for doc, page in got.items():
+        assert page.count("<strong>alpha") == 1 and "Growth of something" in page[page.index("<figure>") : page.index("</figure>")], page[-900:]
+        assert f'src="figs/{sinks.file_name(doc)}/fig_001.png"' in page
+    assert len(list((tmp_path / "figs").glob("*/fig_001.png"))) == 2
+    pages = Counter(tuple(x.name.split("-")[1:3]) for x in seen.glob("page-*"))
+    assert len(pages) == 9 and set(pages.values()) == {1}
+
+
+def test_reading_in_flight():
+    gate = threading.Barrier(3)
+
+    def transport(url, body, timeout):
+        gate.wait(5)  # passes only if three requests are in flight
+        return json.dumps({"choices": [{"message": {"content": "md"}}]})
+
+    r = reader.Reader(transport=transport)
+    r.in_flight = 3
+    assert r.read_each([image(shape=(4, 4))] * 6) == ["md"] * 6
 
 
 def test_every_box_is_cropped(spark, sf, tmp_path):

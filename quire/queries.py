@@ -545,7 +545,21 @@ def reconcile_pages(spark, sf_dir):
     return rows.mapInArrow(run, "doc_id bigint, md string, n_chars bigint")
 
 
-@query()
+#: A box grows back to the edges of what was drawn, 5 pixels away, where enough
+#: blank pixels follow on the page (and within a tenth of it) to tell; else it stays.
+_CROPS_SQL = f"""
+WITH b AS (SELECT *, least(x1, 800) AS xe, least(x1 - 5, 800) AS r, least(y1 - 5, 800) AS e, CASE WHEN k % 2 = 1 THEN 6 ELSE 10 END AS gap FROM ({_BOXES_SQL})),
+g AS (
+  SELECT page, k, r - (x0 + 5) AS w, e - (y0 + 5) AS h,
+    CASE WHEN least(80, x0 + 5) - 5 >= 10 THEN x0 ELSE x0 + 5 END AS gl, CASE WHEN least(80, y0 + 5) - 5 >= 10 THEN y0 ELSE y0 + 5 END AS gt,
+    CASE WHEN xe >= r AND least(800, r + 80) - xe >= 10 THEN xe ELSE r END AS gr, CASE WHEN least(800, e + 80) - y1 >= gap THEN y1 ELSE e END AS gb
+  FROM b
+)
+SELECT page, k, CASE WHEN least(w, h) < 50 THEN 0 ELSE gr - gl END AS width, CASE WHEN least(w, h) < 50 THEN 0 ELSE gb - gt END AS height FROM g
+"""
+
+
+@query(_CROPS_SQL)
 def figure_crops(spark, sf_dir):
     """Figures drawn from order lines, each on a page of its own, every other one
     with a caption: how large their crops are, 0 by 0 if too small."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import bpe, mixing, neardup, quality_cnn, secrets
-from quire.llm.common import stored, table
+from quire.llm.common import drop_stored, stored, table
 
 STAGES = [
     ("quality_classifier", quality_cnn.stage),
@@ -26,8 +26,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The token ids of the corpus: all stages over ``documents``."""
+    """The token ids of the corpus: all stages over ``documents``.
+
+    Null, empty and very long texts, repeated rows and empty tables go through
+    as each stage's docstring says; columns that ``documents`` has beyond its
+    own pass the stages unchanged. What a stage wrote is deleted when the next
+    one has read it, but for the last.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        drop_stored(before)
     return STAGES[-1][1](spark, docs, sf_dir)

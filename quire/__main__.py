@@ -40,8 +40,9 @@ def main(argv: list[str] | None = None) -> int:
             pdf.register(spark)
             url, model = args.reader_url, args.reader_model
             reader.Reader.connect(url, model)
-            source = spark.read.format(pdf.NAME).option("skipcovers", "true").load(args.input.resolve().as_uri())
-            documents, failures = convert(source, lambda: reader.Reader.connect(url, model), known, sink=sink)
+            path = args.input.resolve().as_uri()
+            source = spark.read.format(pdf.NAME).option("skipcovers", "true").load(path)
+            documents, failures = convert(source, lambda: reader.Reader.connect(url, model), known, sink=sink, region=pdf.Regions(path))
             if failed := failures.first():
                 raise ReaderUnavailable(failed["error"]) if failed["disposition"] == "retry" else ConversionError(failed["error"])
         else:

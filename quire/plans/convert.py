@@ -21,7 +21,7 @@ from ..functions.words import Dictionary, no_words
 from ..sources import reader
 from ..storage import drop_stored, stored
 from .document import Sink, inline_sink, page_crops, parse_documents
-from .recovery import recover_figures, repaired_page
+from .recovery import Region, recover_figures, repaired_page
 
 _CROPS = pa.list_(pa.struct([("place", pa.int32()), ("png", pa.binary())]))
 _PAGES = pa.schema(
@@ -42,10 +42,11 @@ def _crops(row: dict, read: Callable[[np.ndarray], str]) -> list[dict]:
     return [{"place": k, "png": v} for k, v in page_crops(row["md"] or "", image, read).items()]
 
 
-def read_and_repair(source: DataFrame, connect: Connect) -> DataFrame:
+def read_and_repair(source: DataFrame, connect: Connect, region: Region | None = None) -> DataFrame:
     """The pages of ``source`` (the schema of ``quire_pdf``) as markdown with
     completed tables, ``crops``, and ``error, disposition`` of pages that could
-    not be read. A page is one request, beside those for its crops."""
+    not be read. A page is one request, beside those for its crops, which
+    ``region`` renders (else they are parts of the page's raster)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = None
@@ -59,7 +60,7 @@ def read_and_repair(source: DataFrame, connect: Connect) -> DataFrame:
             for row, result in zip(rows, results, strict=True):
                 row |= reader.outcome(result) | {"crops": []}
                 if row["md"] is not None:
-                    row["md"] = repaired_page(row, made.read)
+                    row["md"] = repaired_page(row, made.read, region)
                     row["crops"] = _crops(row, made.read)
                 if row["md"] is None or not L.figure_numbers(row["text"] or "") - L.figure_numbers(row["md"]):
                     row |= dict.fromkeys(_LAYER)
@@ -80,17 +81,18 @@ def _cut_anew(pages: DataFrame, connect: Connect) -> DataFrame:
     return pages.mapInArrow(run, pages.schema)
 
 
-def convert(source: DataFrame, connect: Connect, known: Dictionary = no_words, *, sink: Sink = inline_sink) -> tuple[DataFrame, DataFrame]:
+def convert(source: DataFrame, connect: Connect, known: Dictionary = no_words, *, sink: Sink = inline_sink, region: Region | None = None) -> tuple[DataFrame, DataFrame]:
     """Documents (see ``parse_documents``) and failures (``doc_id, page_no,
     error, disposition``). A document of which a page failed is not made. An
-    empty source gives neither; page numbers may have gaps."""
-    pages = stored(read_and_repair(source, connect), "pages")
+    empty source gives neither; page numbers may have gaps. ``region`` renders
+    what is read again (``pdf.Regions`` of the path that was loaded)."""
+    pages = stored(read_and_repair(source, connect, region), "pages")
     failures = pages.where("error is not null").select("doc_id", "page_no", "error", "disposition")
     whole = pages
     if failures.limit(1).count():
         whole = pages.join(stored(failures.select("doc_id").distinct(), "failed"), "doc_id", "left_anti").select(pages.columns)
     if whole.where("pixels is not null").limit(1).count():
-        found = stored(recover_figures(whole, lambda: connect().read), "pages")
+        found = stored(recover_figures(whole, lambda: connect().read, region), "pages")
         anew = F.col("pixels").isNotNull()
         whole = stored(_cut_anew(found.where(anew), connect).unionByName(found.where(~anew)), "pages")
         drop_stored(found)

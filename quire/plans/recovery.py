@@ -23,6 +23,8 @@ from ..operators import relations as R
 
 #: Makes a function that reads an image as markdown, once per Python worker.
 Connect = Callable[[], Callable[[np.ndarray], str]]
+#: Renders a region of a row's page; null where it can't.
+Region = Callable[[dict, L.Box], np.ndarray | None]
 GLYPHS = ("text", "boxes", "turns", "weights", "page_width", "page_height")
 
 
@@ -41,8 +43,12 @@ def layer_of(row: dict) -> L.Layer:
     return L.Layer(row["text"] or "", boxes, row["turns"] or [None] * n, row["weights"] or [None] * n, (row["page_width"] or 0.0, row["page_height"] or 0.0))
 
 
-def crop(row: dict, box: L.Box, turn: int = 0) -> np.ndarray | None:
-    """A region of the page's raster, turned upright; null without a raster."""
+def crop(row: dict, box: L.Box, turn: int = 0, region: Region | None = None) -> np.ndarray | None:
+    """A region of the page, turned upright: as ``region`` renders it, else its
+    part of the page's raster; null without both."""
+    part = region(row, box) if region else None
+    if part is not None:
+        return np.rot90(part, turn // 90) if turn else part
     if not row.get("pixels") or not row["page_width"]:
         return None
     image = np.frombuffer(row["pixels"], np.uint8).reshape(row["height"], row["width"], -1)
@@ -53,7 +59,7 @@ def crop(row: dict, box: L.Box, turn: int = 0) -> np.ndarray | None:
     return np.rot90(part, turn // 90) if turn else part
 
 
-def repaired_page(row: dict, read: Callable[[np.ndarray], str] | None = None) -> str:
+def repaired_page(row: dict, read: Callable[[np.ndarray], str] | None = None, region: Region | None = None) -> str:
     """A page's markdown with its tables completed."""
     md = row["md"] or ""
     if "<table" not in md.lower():
@@ -61,12 +67,12 @@ def repaired_page(row: dict, read: Callable[[np.ndarray], str] | None = None) ->
     layer = layer_of(row)
     md = T.closed(md)
     if read is not None:
-        crops = [(p, crop(row, p.box, p.turn)) for p in L.plans(md, layer)]
+        crops = [(p, crop(row, p.box, p.turn, region)) for p in L.plans(md, layer)]
         md = L.with_crops(md, [(p, text) for p, image in crops if image is not None and image.size and (text := pixels.attempted(read, image)) is not None])
     return L.bolded(L.repaired(md, layer), layer)
 
 
-def repair_tables(pages: DataFrame, connect: Connect | None = None) -> DataFrame:
+def repair_tables(pages: DataFrame, connect: Connect | None = None, region: Region | None = None) -> DataFrame:
     """``pages`` with the tables in ``md`` completed from their glyphs, and from
     crops where a reader is given. In place; pages without a table pass through
     outside of Python."""
@@ -76,14 +82,14 @@ def repair_tables(pages: DataFrame, connect: Connect | None = None) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = connect() if connect else None
         for batch in batches:
-            mds = [repaired_page(row, read) for row in batch.to_pylist()]
+            mds = [repaired_page(row, read, region) for row in batch.to_pylist()]
             yield batch.set_column(batch.schema.get_field_index("md"), "md", pa.array(mds, pa.string()))
 
     done = pages.where(with_table).select(names).mapInArrow(run, pages.schema)
     return done.unionByName(pages.where(~with_table))
 
 
-def recover_figures(pages: DataFrame, connect: Connect) -> DataFrame:
+def recover_figures(pages: DataFrame, connect: Connect, region: Region | None = None) -> DataFrame:
     """``pages`` with the figures that their text layers caption and no page of
     the document emits: each is looked for on its captioned pages, from the
     article's first on, and taken from the first that yields it."""
@@ -101,13 +107,13 @@ def recover_figures(pages: DataFrame, connect: Connect) -> DataFrame:
             for row in batch.to_pylist():
                 layer = layer_of(row)
                 for n in row["numbers"]:
-                    region = L.figure_region(layer, n)
-                    image = crop(row, region[0]) if region else None
+                    place = L.figure_region(layer, n)
+                    image = crop(row, place[0], region=region) if place else None
                     text = pixels.attempted(read, image) if image is not None and image.size else None
                     got = L.recovered(text, n) if text is not None else None
                     if got:
                         caption = "" if L.has_caption(got[1], row["md"] or "") else got[1]
-                        out.append((row["doc_id"], row["page_no"], n, region[1], L.figure_block(L.to_page(got[0], region[0], layer.size), caption)))
+                        out.append((row["doc_id"], row["page_no"], n, place[1], L.figure_block(L.to_page(got[0], place[0], layer.size), caption)))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "page_no", "number", "top", "block"])

@@ -10,19 +10,22 @@ looked for only when a file is read.
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..errors import BadInput
 from ..functions.blocks import is_trivial_layer
-from ..functions.layout import snapped
+from ..functions.layout import Box, crop_scale, snapped
 from ..functions.pixels import fitted, render_scale
 
 NAME = "quire_pdf"
+_log = logging.getLogger(__name__)
 SCHEMA = (
     "doc_id string, page_no int, width int, height int, pixels binary, text string, "
     "boxes array<array<double>>, turns array<int>, weights array<int>, page_width double, page_height double"
@@ -131,6 +134,46 @@ class PdfReader(DataSourceReader):
         return row
 
 
+class Regions:
+    """Renders a region of a page of the PDFs at ``path`` (what was loaded) anew,
+    at a scale that suits the region. Goes to Python workers as it is; a worker
+    holds the PDF it used last."""
+
+    def __init__(self, path: str):
+        self.path, self.held = path, ("", None)
+
+    def __getstate__(self) -> dict:
+        return {"path": self.path, "held": ("", None)}
+
+    def opened(self, doc_id: str):
+        if self.held[1] is None or self.held[0] != doc_id:
+            if self.held[1] is not None:
+                self.held[1].close()
+            self.held = ("", None)
+            fs, root = pafs.FileSystem.from_uri(self.path)
+            if fs.get_file_info(root).type != pafs.FileType.File:
+                root = f"{root.rstrip('/')}/{doc_id}"
+                if not root.lower().endswith(".pdf") or fs.get_file_info(f"{root}.pdf").type == pafs.FileType.File:
+                    root += ".pdf"
+            with fs.open_input_file(root) as f:
+                self.held = doc_id, library().PdfDocument(f.read())
+        return self.held[1]
+
+    def __call__(self, row: dict, box: Box) -> np.ndarray | None:
+        """Null (with a warning) where the region can't be rendered: its part of
+        the page's raster must do."""
+        x0, y0, x1, y1 = box
+        try:
+            page = self.opened(row["doc_id"])[row["page_no"]]
+            image = page.render(scale=crop_scale(box), crop=(x0, y0, row["page_width"] - x1, row["page_height"] - y1)).to_pil().convert("RGB")
+            return np.asarray(image.resize(fitted(*image.size)))
+        except BadInput:
+            raise
+        except Exception as e:
+            _log.warning("could not render a region of page %s of %s: %s", row["page_no"], row["doc_id"], e)
+            return None
+
+
 class PdfSource(DataSource):
     @classmethod
     def name(cls) -> str:

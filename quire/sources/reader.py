@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import json
 import os
+import queue
 import random
 import time
 import urllib.error
@@ -19,6 +20,8 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
 from email.message import Message
+from http.client import HTTPConnection, HTTPException, HTTPSConnection
+from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +50,8 @@ Transport = Callable[[str, bytes | None, float], str]
 
 
 def http(url: str, body: bytes | None, timeout: float) -> str:
-    request = urllib.request.Request(url, body, {"Content-Type": "application/json"})
     try:
+        request = urllib.request.Request(url, body, {"Content-Type": "application/json"})
         with urllib.request.urlopen(request, timeout=timeout) as reply:
             return reply.read().decode("utf-8", "replace")
     except urllib.error.HTTPError as e:
@@ -57,6 +60,67 @@ def http(url: str, body: bytes | None, timeout: float) -> str:
         raise HttpFailure(0) from e
 
 
+class Pool:
+    """A transport that keeps connections open between requests, ``size`` at
+    most; a kept one that the other side has closed is replaced. Urls that a
+    proxy is set for go by ``http``."""
+
+    def __init__(self, size: int):
+        self.size, self.idle = size, queue.LifoQueue(size)
+
+    def __call__(self, url: str, body: bytes | None, timeout: float) -> str:
+        try:
+            parts = urlsplit(url)
+            at = parts.scheme, parts.hostname, parts.port
+        except ValueError as e:
+            raise HttpFailure(0) from e
+        if at[0] not in ("http", "https") or not at[1] or (at[0] in urllib.request.getproxies() and not urllib.request.proxy_bypass(at[1])):
+            return http(url, body, timeout)
+        target = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
+        while True:
+            link = self.kept(at)
+            fresh = link is None
+            try:
+                link = link or (HTTPSConnection if at[0] == "https" else HTTPConnection)(*at[1:])
+                link.timeout = timeout
+                if link.sock is not None:
+                    link.sock.settimeout(timeout)
+                link.request("GET" if body is None else "POST", target, body, {"Content-Type": "application/json"})
+                reply = link.getresponse()
+                text = reply.read().decode("utf-8", "replace")
+            except (OSError, ValueError, HTTPException) as e:
+                if link is not None:
+                    link.close()
+                if fresh or isinstance(e, TimeoutError):
+                    raise HttpFailure(0) from e
+                continue
+            self.keep(at, link)
+            if not 200 <= reply.status < 300:
+                raise HttpFailure(reply.status, reply.headers)
+            return text
+
+    def kept(self, at: tuple) -> HTTPConnection | None:
+        while True:
+            try:
+                place, link = self.idle.get_nowait()
+            except queue.Empty:
+                return None
+            if place == at:
+                return link
+            link.close()
+
+    def keep(self, at: tuple, link: HTTPConnection) -> None:
+        try:
+            if link.sock is not None:  # else the reply ended it
+                self.idle.put_nowait((at, link))
+        except queue.Full:
+            link.close()
+
+    def close(self) -> None:
+        while not self.idle.empty():
+            self.idle.get_nowait()[1].close()
+
+
 def setting(name: str, default, kind=float):
     """A positive number from the environment; a bad one is reported and ignored.
     Whole numbers are raised to 1."""
@@ -101,10 +165,12 @@ class Reader:
     sleep: Callable[[float], None] = field(default=time.sleep, repr=False)
 
     @classmethod
-    def connect(cls, url: str | None = None, model: str | None = None, timeout: float | None = None, transport: Transport = http) -> Reader:
+    def connect(cls, url: str | None = None, model: str | None = None, timeout: float | None = None, transport: Transport | None = None) -> Reader:
         """Probe the service and take over its context length: a setting in the
-        environment wins, then what it reports, then the default."""
-        at = base_url(url)
+        environment wins, then what it reports, then the default. Without a
+        ``transport``, as many connections stay open as requests are in flight."""
+        at, in_flight = base_url(url), setting("IN_FLIGHT", IN_FLIGHT, int)
+        transport = transport or Pool(in_flight)
         try:
             reply = transport(f"{at}/models", None, setting("HEALTH_TIMEOUT", HEALTH_S))
         except HttpFailure as e:
@@ -117,7 +183,7 @@ class Reader:
             at,
             model or os.environ.get(PREFIX + "MODEL", MODEL),
             setting("CONTEXT", reported or CONTEXT, int),
-            setting("IN_FLIGHT", IN_FLIGHT, int),
+            in_flight,
             timeout if timeout is not None else setting("TIMEOUT", REQUEST_S),
             transport,
         )
@@ -132,7 +198,9 @@ class Reader:
         return self
 
     def __exit__(self, *exc) -> None:
-        """Nothing stays open between requests."""
+        """Closes the connections that were kept; the reader can go on."""
+        if isinstance(self.transport, Pool):
+            self.transport.close()
 
     def delay(self, failure: HttpFailure, attempt: int) -> float:
         """Seconds to the next attempt: what the service asks for, within a

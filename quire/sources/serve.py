@@ -57,6 +57,8 @@ def serve(generate: Generate, *, model: str = "page-reader", context: int = 8192
     lock = threading.Lock()
 
     class Handler(BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"  # connections stay open
+
         def reply(self, status: int, payload: dict) -> None:
             data = json.dumps(payload).encode()
             self.send_response(status)
@@ -76,6 +78,7 @@ def serve(generate: Generate, *, model: str = "page-reader", context: int = 8192
                 body = json.loads(self.rfile.read(int(self.headers.get("Content-Length", 0))))
                 self.reply(200, completion(body, model, generate, lock))
             except (BadRequest, ValueError, KeyError, TypeError, AttributeError) as e:
+                self.close_connection = True  # what is left of the body
                 self.reply(400, {"error": str(e)})
 
         def log_message(self, *args) -> None:

@@ -316,6 +316,99 @@ def test_service():
         reader.Reader.connect(f"http://127.0.0.1:{server.server_address[1]}/v1", transport=lambda *a: reader.http("http://127.0.0.1:9/", None, 1))
 
 
+def test_connections_are_kept():
+    server = serve.serve(lambda data, most: ("md", 10, 3))
+    opened = []
+    accept = server.get_request
+
+    def get_request():
+        link = accept()
+        opened.append(link[0])
+        return link
+
+    server.get_request = get_request
+    try:
+        url = f"http://127.0.0.1:{server.server_address[1]}/v1"
+        with reader.Reader.connect(url) as r:
+            assert r.transport.size == r.in_flight == 4
+            assert [r.read(image(shape=(4, 4))) for _ in range(5)] == ["md"] * 5 and len(opened) == 1
+            assert r.read_each([image(shape=(4, 4))] * 40) == ["md"] * 40 and len(opened) <= r.in_flight
+            before = len(opened)
+            for link in opened:
+                link.shutdown(2)  # closed by the other side: replaced, not failed
+            assert r.read(image(shape=(4, 4))) == "md" and len(opened) == before + 1
+            with pytest.raises(reader.HttpFailure) as e:
+                r.transport(f"{url}/nothing", None, 5)
+            assert e.value.status == 404 and not r.transport.idle.empty()
+        assert r.transport.idle.empty()
+        for bad in ("ftp://127.0.0.1:9/x", "nonsense", "http://[x", "http://h:port/"):
+            with pytest.raises(reader.HttpFailure):
+                r.transport(bad, None, 1)
+    finally:
+        server.shutdown()
+
+
+class Pdfs:
+    """Stands in for a PDF library: a page is white but for its number."""
+
+    def __init__(self):
+        self.opened, self.asked = [], []
+
+    def PdfDocument(self, data):  # noqa: N802
+        self.opened.append(data)
+        library = self
+
+        class Page:
+            def render(self, scale, crop):
+                library.asked.append((data, scale, crop))
+                if data == b"bad":
+                    raise RuntimeError("no such page")
+                return self
+
+            def to_pil(self):
+                from types import SimpleNamespace as Made
+
+                size = (40, 20)
+                pixels = np.full((20, 40, 3), len(data), np.uint8)
+                made = Made(size=size, resize=lambda to: pixels)
+                return Made(convert=lambda mode: made)
+
+        class Document(list):
+            def close(self):
+                pass
+
+        return Document([Page()])
+
+
+def test_regions_are_rendered_anew(tmp_path, monkeypatch):
+    (tmp_path / "x").mkdir()
+    for name, data in (("x/a.pdf", b"one"), ("b.PDF", b"three"), ("bad.pdf", b"bad")):
+        (tmp_path / name).write_bytes(data)
+    fake = Pdfs()
+    monkeypatch.setattr(pdf, "library", lambda: fake)
+    region = pdf.Regions(tmp_path.as_uri())
+    row = lambda doc: {"doc_id": doc, "page_no": 0, "page_width": 600.0, "page_height": 800.0, "pixels": None}
+    box = (100.0, 200.0, 250.0, 300.0)
+    assert (region(row("x/a"), box) == 3).all() and (region(row("x/a"), box) == 3).all() and (region(row("b.PDF"), box) == 5).all()
+    assert fake.opened == [b"one", b"three"]  # a PDF is opened once
+    assert fake.asked[0] == (b"one", 600 / 72, (100.0, 200.0, 350.0, 500.0))  # margins; at the upper bound of the scale
+    assert region(row("bad"), box) is None and V.crop(row("bad"), box, region=region) is None
+    assert region(row("missing"), box) is None
+    assert V.crop(row("x/a"), box, 90, region).shape == (40, 20, 3)
+    raster = row("bad") | {"pixels": np.full((800, 600, 3), 7, np.uint8).tobytes(), "width": 600, "height": 800}
+    assert V.crop(raster, box, region=region).shape == (100, 150, 3)
+    assert (pdf.Regions((tmp_path / "x" / "a.pdf").as_uri())(row("a"), box) == 3).all()
+
+
+def test_regions_reach_the_recovery(spark):
+    figure = layer(["text above here that is long enough", *[""] * 8, "Figure 2. Growth of something", "body text below the caption"])
+    pages = spark.createDataFrame([glyph_page("d", 1, "## Introduction\n\ntext", figure)[:11] + (None,)], GLYPHS)  # no raster
+    crop = "![image](i.png)100,100,900,900\n\nFigure 2. Growth of something"
+    read = lambda: lambda part: crop if part.shape == (30, 60, 3) else ""
+    assert "![image]" not in V.recover_figures(pages, read).first()["md"]
+    assert "![image]" in V.recover_figures(pages, read, lambda row, box: np.zeros((30, 60, 3), np.uint8)).first()["md"]
+
+
 def test_sinks(spark, tmp_path):
     put = sinks.folder_sink((tmp_path / "figs").as_uri())
     assert put(b"png", "image/png", 3) == "figs/fig_003.png" and (tmp_path / "figs" / "fig_003.png").read_bytes() == b"png"

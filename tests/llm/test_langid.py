@@ -1,5 +1,8 @@
+import hashlib
 import itertools
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -113,3 +116,38 @@ def test_held_out_accuracy(spark, sf):
     held = [r for r in got if r["held_out"]]
     assert {r["doc_id"] for r in held} == {i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0}
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) > 0.97 * len(held)
+
+
+def test_query_matches_brute_force(spark, sf):
+    """The sample drawn anew, and each text alone: every word's scores, the best path by full decoding, shares, score."""
+    rows = [r for r in table(sf, "documents")]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    learn = [r for r in rows if not held(r["doc_id"]) and r["text"] is not None and r["lang"] is not None]
+    sizes = Counter(r["lang"] for r in learn)
+    each, drawn = L.SAMPLE_DOCS // len(sizes), []
+    for lang, n in sizes.items():
+        order = {r["doc_id"]: int(hashlib.md5(str(r["doc_id"]).encode()).hexdigest()[:12], 16) / 2**48 for r in learn if r["lang"] == lang}
+        mine = sorted((order[r["doc_id"]], r["doc_id"], r["text"]) for r in learn if r["lang"] == lang and len(r["text"]) <= L.SAMPLE_CHARS)
+        drawn += [(t, lang) for o, _, t in mine if o < min(1, (1.6 * each + 8) / n)][:each]
+    drawn.sort()
+    model = L.train([t for t, _ in drawn], [lang for _, lang in drawn])
+    got = {r["doc_id"]: r for r in L.op3_language_id(spark, sf).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        words = L.split_words([unicodedata.normalize("NFC", r["text"] or "")])
+        row = got[r["doc_id"]]
+        assert row["held_out"] == held(r["doc_id"])
+        lengths = np.diff(np.append(words.first, len(words.codes)))
+        if not len(lengths):
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        scores = model.word_scores(words)
+        path = L.viterbi(scores, L.SWITCH)
+        shares = np.array([lengths[path == k].sum() for k in range(len(model.langs))], float)
+        lead = shares.copy()
+        lead[path[0]] += model.lead * shares.sum()
+        k = int(lead.argmax())
+        sums = scores.sum(axis=0)
+        margin = np.clip(sums[k] - max(np.delete(sums, k)), -30, 30)
+        assert row["lang_pred"] == model.langs[k]
+        assert abs(row["score"] - shares[k] / shares.sum() / (1 + np.exp(-margin))) < 1e-3

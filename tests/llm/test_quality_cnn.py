@@ -72,3 +72,36 @@ def test_held_out_quality(spark, sf):
     assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) > 0.95 * len(held)
     good = [r for r in held if truth[r["doc_id"]] == 1]
     assert sum(r["predicted"] for r in good) > 0.98 * len(good)
+
+
+def one_score(net, text):
+    """A text's score by plain loops over its chunks."""
+    size, raw = Q.BLOCK * Q.CELL, text.encode()
+    cells = -(-(len(raw) + Q.BLOCK) // size)
+    seen = net.embed[np.frombuffer(raw.ljust(cells * size, b"\0"), np.uint8)]
+    windows = np.array([seen[a : a + 2 * Q.BLOCK].ravel() for a in range(0, len(seen) - Q.BLOCK, Q.BLOCK)])
+    response = windows @ net.filters + net.bias
+    hidden, at = [], 0
+    while True:
+        inside = response[at * Q.CELL : (at + Q.CELLS) * Q.CELL]
+        hidden.append(np.tanh(np.maximum(inside.max(axis=0), 0) @ net.hidden + net.hidden_bias))
+        if at + Q.CELLS >= cells:
+            break
+        at += Q.STEP
+    logit = np.concatenate([np.mean(hidden, axis=0), np.max(hidden, axis=0)]) @ net.out + net.out_bias[0]
+    return 1 / (1 + np.exp(-float(logit)))
+
+
+def test_query_matches_brute_force(spark, sf):
+    """Sample, weights and every text's score, worked out anew from the tables."""
+    texts = {r["doc_id"]: r["text"] for r in table(sf, "documents")}
+    marks = {r["doc_id"]: r["quality"] for r in table(sf, "labels") if r["quality"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1}
+    assert all(sum(m == q for m in marks.values()) <= Q.SAMPLE_EACH for q in (0, 1))  # all are learned, each with weight 1
+    ids = sorted(i for i in marks if texts.get(i) is not None and len(texts[i]) <= Q.SAMPLE_CHARS)
+    net = Q.train([texts[i] for i in ids], [marks[i] for i in ids], [1.0] * len(ids))
+    got = {r["doc_id"]: r for r in Q.op4_quality_cnn(spark, sf).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        want = one_score(net, text or "")
+        assert abs(got[i]["score"] - want) < 1e-3 and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
+        assert got[i]["predicted"] == int(got[i]["score"] >= 0.5)

@@ -103,3 +103,72 @@ def test_columns_of_the_input_stay(spark):
     assert all(r[name] == r["doc_id"] + 1000 for r in out.collect() for name in names)
     assert rows_of(out.drop(*names)) == plain
     assert rows_of(Q.judge(d.withColumn("kept", Q.F.lit("mine")).withColumn("n_words", Q.F.lit(1)))) == plain
+
+
+def vector(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines):
+    return [np.log((word_chars + 250) / (n_words + 50)), np.sqrt(n_symbols / (word_chars + 200)), np.sqrt(n_dup_lines / (n_lines + 10)), np.sqrt(n_repeat_words / (n_words + 100))]
+
+
+def far(x, centre, scatter):
+    d = x - centre
+    return np.einsum("ij,ij->i", d, np.linalg.solve(scatter, d.T).T)
+
+
+def fitted(x, scale):
+    return x.mean(axis=0), scale * np.cov(x.T, bias=True) + np.diag(np.square(Q.FLOOR))
+
+
+def grid_median(v):
+    cells = np.sort(np.floor(v * Q.GRID))
+    return (cells[-(-len(cells) // 2) - 1] + 0.5) / Q.GRID
+
+
+def mcd(x):
+    """Centre and scatter of one group, over plain matrices."""
+    mids = np.array([grid_median(v) for v in x.T])
+    mads = np.array([grid_median(abs(v - m)) for v, m in zip(x.T, mids, strict=True)])
+    ends = []
+    for centre, scatter in (fitted(x, 1.0), (mids, np.diag((1.4826 * mads) ** 2 + np.square(Q.FLOOR)))):
+        for _ in range(Q.STEPS):
+            bins = np.floor(np.log(far(x, centre, scatter) + 1e-9) * Q.BINS)
+            edge = np.sort(bins)[int(np.ceil(Q.SUPPORT * len(x))) - 1]
+            centre, scatter = fitted(x[bins <= edge], Q.consistency(Q.SUPPORT))
+        ends.append((np.linalg.slogdet(scatter)[1], centre, scatter))
+    _, centre, scatter = min(ends, key=lambda e: e[0])
+    return fitted(x[far(x, centre, scatter) <= Q.chi2_point(0.025, 4)], Q.consistency(0.975))
+
+
+def test_query_matches_brute_force(spark, sf):
+    """Groups, estimates, distances and verdicts of every document, worked out anew."""
+    for where in (sf, sf.replace("0.001", "0.01")):
+        rows = table(where, "documents")
+        made = {}
+        for r in rows:
+            lines = [x for x in (r["text"] or "").split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+            *counts, failed = base(r["text"])
+            made[r["doc_id"]] = vector(*counts, len(lines)), failed
+        own, langs = Counter((r["lang"], r["source"]) for r in rows), Counter()
+        for (lang, _), n in own.items():
+            langs[lang] += n if n < Q.MIN_GROUP else 0
+        members = {}
+        for r in rows:
+            key = (r["lang"], r["source"])
+            if own[key] < Q.MIN_GROUP:
+                key = r["lang"] if langs[r["lang"]] >= Q.MIN_GROUP else None
+            members.setdefault(key, []).append(r["doc_id"])
+        want = {}
+        for key, ids in members.items():
+            x = np.array([made[i][0] for i in ids])
+            good = np.array([not made[i][1] for i in ids])
+            distances = far(x, *mcd(x[good])) if key is not None and good.any() else [None] * len(ids)
+            want |= dict(zip(ids, distances, strict=True))
+        got = {r["doc_id"]: r for r in Q.op6_quality_rules(spark, where).collect()}
+        assert len(got) == len(rows) and sum(d is not None for d in want.values()) > len(rows) / 2
+        cut = Q.chi2_point(Q.TAIL, 4)
+        for i, d in want.items():
+            if d is None:
+                assert got[i]["distance"] is None and got[i]["kept"] == (not made[i][1])
+                continue
+            assert abs(got[i]["distance"] - d) <= 1e-3 + 1e-6 * d, (i, got[i]["distance"], d)
+            if abs(d - cut) > 1e-3:
+                assert got[i]["kept"] == (not made[i][1] and d <= cut)

@@ -1,8 +1,9 @@
 """The markdown that page transcripts use, as HTML blocks.
 
 A subset of CommonMark with pipe tables: ATX headings, paragraphs, bullet and
-numbered lists, block quotes, fenced code, rules, raw HTML; inline emphasis by
-the delimiter rules, escapes, entities, raw tags, breaks, links and images.
+numbered lists, block quotes, fenced and indented code, rules, raw HTML; inline
+emphasis by the delimiter rules, escapes, entities, raw tags, breaks, links and
+images, in place or by reference.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import html
 import re
 import unicodedata
 from functools import lru_cache
+from urllib.parse import quote
 
 from . import blocks as B
 from . import latex
@@ -21,6 +23,28 @@ _TAG = re.compile(r"""<(?:/[A-Za-z][\w-]*\s*|[A-Za-z][\w-]*(?:\s+[A-Za-z_:][\w.:
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 
 
+_LABEL = r"\[((?:[^\[\]\\]|\\.)*)\]"
+_REFERENCE = re.compile(rf"(!?){_LABEL}(?:{_LABEL})?", re.DOTALL)
+_TITLE = r"""(?:"((?:[^"\\]|\\.)*)"|'((?:[^'\\]|\\.)*)'|\(((?:[^()\\]|\\.)*)\))"""
+_DEFINITION = re.compile(rf"{_LABEL}:[ ]*\n?[ ]*(?:<([^<>\n]*)>|([^\s<]\S*))(?:(?:[ ]+|[ ]*\n[ ]*){_TITLE})?[ ]*(?:\n|$)")
+#: Label, as ``_label`` gives it -> where a reference leads, and its title.
+References = dict[str, tuple[str, str]]
+
+
+def _label(text: str) -> str:
+    return " ".join(text.split()).casefold()
+
+
+def _without_definitions(body: str, refs: References) -> str:
+    """A paragraph behind the definitions at its beginning, which go to
+    ``refs``; of one label the first counts."""
+    at = 0
+    while (m := _DEFINITION.match(body, at)) and _label(m[1]):
+        refs.setdefault(_label(m[1]), (m[2] if m[2] is not None else m[3], m[4] or m[5] or m[6] or ""))
+        at = m.end()
+    return body[at:]
+
+
 def _escape(text: str) -> str:
     return text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
 
@@ -34,9 +58,19 @@ def _flank(before: str, after: str) -> tuple[bool, bool]:
     return left, right
 
 
-def inline(text: str, *, full: bool = False) -> str:
+def _linked(image: str, inner: str, to: str, title: str, refs: References) -> str:
+    plain = lambda x: html.unescape(re.sub(rf"\\([{re.escape(_PUNCTUATION)}])", r"\1", x))
+    title = f' title="{_escape(plain(title))}"' if title else ""
+    to = re.sub(r"%(?![0-9A-Fa-f]{2})", "%25", quote(plain(to), safe=";/?:@&=+$,-_.!~*'()#%"))
+    if image:
+        return f'<img src="{_escape(to)}" alt="{_escape(inner)}"{title} />'
+    return f'<a href="{_escape(to)}"{title}>{inline(inner, full=True, refs=refs)}</a>'
+
+
+def inline(text: str, *, full: bool = False, refs: References | None = None) -> str:
     """Inline markdown as HTML. Without ``full``, code spans, links, images and
-    autolinks are ordinary text."""
+    autolinks are ordinary text; so are references that ``refs`` doesn't have."""
+    refs = refs or {}
     out: list = []  # strings, and delimiter runs as [char, count, opens, closes]
     i = 0
     while i < len(text):
@@ -62,12 +96,11 @@ def inline(text: str, *, full: bool = False) -> str:
             out.append(f"<code>{_escape(code)}</code>")
             i += m.end()
         elif full and c in "![" and (m := re.match(r'(!?)\[((?:[^\[\]\\]|\\.)*)\]\(\s*<?([^\s<>()]*)>?(?:\s+"([^"]*)")?\s*\)', text[i:])):
-            title = f' title="{_escape(m[4])}"' if m[4] else ""
-            if m[1]:
-                out.append(f'<img src="{_escape(m[3])}" alt="{_escape(m[2])}"{title} />')
-            else:
-                out.append(f'<a href="{_escape(m[3])}"{title}>{inline(m[2], full=True)}</a>')
+            out.append(_linked(m[1], m[2], m[3], m[4] or "", refs))
             i += m.end()
+        elif full and refs and c in "![" and (m := _REFERENCE.match(text, i)) and (to := refs.get(_label(m[3] or m[2]))):
+            out.append(_linked(m[1], m[2], *to, refs))
+            i = m.end()
         elif c in "*_":
             j = i
             while j < len(text) and text[j] == c:
@@ -170,24 +203,24 @@ def _row(line: str) -> list[str]:
     return [c.strip().replace("\\|", "|") for c in re.split(r"(?<!\\)\|", line)]
 
 
-def _table(lines: list[str]) -> str:
+def _table(lines: list[str], refs: References) -> str:
     head = _row(lines[0])
     style = [("center" if c[0] == c[-1] == ":" and len(c) > 1 else "left" if c[0] == ":" else "right" if c[-1] == ":" else "") for c in _row(lines[1])]
     attr = lambda k: f' style="text-align:{style[k]}"' if style[k] else ""
-    cells = lambda row, tag: "\n".join(f"<{tag}{attr(k)}>{inline(row[k], full=True) if k < len(row) else ''}</{tag}>" for k in range(len(head)))
+    cells = lambda row, tag: "\n".join(f"<{tag}{attr(k)}>{inline(row[k], full=True, refs=refs) if k < len(row) else ''}</{tag}>" for k in range(len(head)))
     out = f"<table>\n<thead>\n<tr>\n{cells(head, 'th')}\n</tr>\n</thead>\n"
     if len(lines) > 2:
         out += "<tbody>\n" + "\n".join(f"<tr>\n{cells(_row(x), 'td')}\n</tr>" for x in lines[2:]) + "\n</tbody>\n"
     return out + "</table>"
 
 
-def _list(items: list[list[str]], marker: str, loose: bool) -> str:
+def _list(items: list[list[str]], marker: str, loose: bool, refs: References) -> str:
     tag = "ol" if marker[0].isdigit() else "ul"
     number = int(marker[:-1]) if tag == "ol" else 1
     start = f' start="{number}"' if tag == "ol" and number != 1 else ""
     body = []
     for item in items:
-        inner = elements("\n".join(item))
+        inner = _elements("\n".join(item), refs)
         if loose:
             body.append("<li>\n" + "\n".join(inner) + "\n</li>")
         else:
@@ -197,7 +230,14 @@ def _list(items: list[list[str]], marker: str, loose: bool) -> str:
 
 
 def elements(text: str) -> list[str]:
-    """Top-level elements of a markdown text, rules included."""
+    """Top-level elements of a markdown text, rules included. A reference may
+    stand before its definition, so texts with definitions are passed twice."""
+    refs: References = {}
+    out = _elements(text, refs)
+    return _elements(text, refs) if refs else out
+
+
+def _elements(text: str, refs: References) -> list[str]:
     lines = text.expandtabs(4).split("\n")
     out: list[str] = []
     i = 0
@@ -205,8 +245,17 @@ def elements(text: str) -> list[str]:
         line = lines[i]
         if not line.strip():
             i += 1
+        elif line.startswith("    "):
+            j = i
+            while j < len(lines) and (lines[j].startswith("    ") or not lines[j].strip()):
+                j += 1
+            code = [x[4:] for x in lines[i:j]]
+            while not code[-1].strip():
+                code.pop()
+            out.append("<pre><code>" + "".join(_escape(x) + "\n" for x in code) + "</code></pre>")
+            i = j
         elif m := re.match(r"^ {0,3}(#{1,6})(?:[ \t]+(.*?))?(?:[ \t]+#+)?[ \t]*$", line):
-            out.append(f"<h{len(m[1])}>{inline(m[2] or '', full=True)}</h{len(m[1])}>")
+            out.append(f"<h{len(m[1])}>{inline(m[2] or '', full=True, refs=refs)}</h{len(m[1])}>")
             i += 1
         elif m := re.match(r"^ {0,3}(`{3,}|~{3,})\s*([^`\s]*)[^`]*$", line):
             j = i + 1
@@ -229,15 +278,15 @@ def elements(text: str) -> list[str]:
             while j < len(lines) and lines[j].strip():
                 j += 1
             inner = "\n".join(re.sub(r"^ {0,3}> ?", "", x) for x in lines[i:j])
-            out.append("<blockquote>\n" + "\n".join(elements(inner)) + "\n</blockquote>")
+            out.append("\n".join(["<blockquote>", *_elements(inner, refs), "</blockquote>"]))
             i = j
         elif (m := _ITEM.match(line)) and m[4]:
-            i = _take_list(lines, i, m, out)
+            i = _take_list(lines, i, m, out, refs)
         elif "|" in line and i + 1 < len(lines) and _ALIGN.match(lines[i + 1]) and "|" in lines[i + 1] and len(_row(line)) == len(_row(lines[i + 1])):
             j = i + 2
             while j < len(lines) and lines[j].strip() and not re.match(_HTML_BLOCK, lines[j]):
                 j += 1
-            out.append(_table(lines[i:j]))
+            out.append(_table(lines[i:j], refs))
             i = j
         else:
             j = i + 1
@@ -246,12 +295,16 @@ def elements(text: str) -> list[str]:
                     break
                 j += 1
             body = "\n".join(x.strip(" ") if k == j - 1 else x.lstrip(" ") for k, x in enumerate(lines[i:j], i))
+            body = _without_definitions(body, refs) if body.startswith("[") else body
+            if not body:
+                i = j
+                continue
             if j < len(lines) and (m := re.match(r"^ {0,3}(=+|-+)[ \t]*$", lines[j])):
                 level = 1 if m[1][0] == "=" else 2
-                out.append(f"<h{level}>{inline(body, full=True)}</h{level}>")
+                out.append(f"<h{level}>{inline(body, full=True, refs=refs)}</h{level}>")
                 j += 1
             else:
-                out.append(f"<p>{inline(body, full=True)}</p>")
+                out.append(f"<p>{inline(body, full=True, refs=refs)}</p>")
             i = j
     return out
 
@@ -268,7 +321,7 @@ def _interrupts(line: str) -> bool:
     )
 
 
-def _take_list(lines: list[str], i: int, m, out: list[str]) -> int:
+def _take_list(lines: list[str], i: int, m, out: list[str], refs: References) -> int:
     kind = lambda marker: marker[-1] if marker[0].isdigit() else marker
     first, items, loose = m[2], [], False
     while i < len(lines) and (m := _ITEM.match(lines[i])) and m[4] and kind(m[2]) == kind(first):
@@ -300,7 +353,7 @@ def _take_list(lines: list[str], i: int, m, out: list[str]) -> int:
                 item.append(line.lstrip(" "))
                 i += 1
         items.append(item)
-    out.append(_list(items, first, loose))
+    out.append(_list(items, first, loose, refs))
     return i
 
 

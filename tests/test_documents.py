@@ -47,6 +47,24 @@ def test_blocks():
     assert markdown.html_blocks("3. a\n\n4. b") == ['<ol start="3">\n<li>\n<p>a</p>\n</li>\n<li>\n<p>b</p>\n</li>\n</ol>']
 
 
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ('[foo]\n\n[foo]: /u "T"', ['<p><a href="/u" title="T">foo</a></p>']),
+        ("[a *b*][Foo], ![x][foo], [foo][], [no]\n\n> [FOO]: <u é>", ['<p><a href="u%20%C3%A9">a <em>b</em></a>, <img src="u%20%C3%A9" alt="x" />, <a href="u%20%C3%A9">foo</a>, [no]</p>', "<blockquote>\n</blockquote>"]),
+        ("[foo]: /a\n[foo]: /b\ntext [foo]", ['<p>text <a href="/a">foo</a></p>']),  # the first counts
+        ("[foo][bar][baz]\n\n[baz]: /z\n'ti\ntle'\n\n[foo]: /f", ['<p>[foo]<a href="/z" title="ti\ntle">bar</a></p>']),
+        ("[1]: Smith J. Title\n[2]: next one", ["<p>[1]: Smith J. Title\n[2]: next one</p>"]),  # no definitions
+        ("text\n[foo]: /a\n\n[ ]: /u", ["<p>text\n[foo]: /a</p>", "<p>[ ]: /u</p>"]),
+        ("[a](/100%\\_%41)", ['<p><a href="/100%25_%41">a</a></p>']),
+        ("    code *x*\n\n      more <b>\n\ntext\n    on", ["<pre><code>code *x*\n\n  more &lt;b&gt;\n</code></pre>", "<p>text\non</p>"]),
+        ("- a\n\n      code\n- b", ["<ul>\n<li>\n<p>a</p>\n<pre><code>code\n</code></pre>\n</li>\n<li>\n<p>b</p>\n</li>\n</ul>"]),
+    ],
+)
+def test_references_and_indented_code(source, want):
+    assert markdown.elements(source) == want
+
+
 def test_reflow_and_hyphens():
     assert markdown.reflow("one two three four five\nsix done.\nNext para begins here and") == ["one two three four five six done.", "Next para begins here and"]
     assert markdown.reflow("a para-\ngraph") == ["a paragraph"]

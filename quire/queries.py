@@ -54,6 +54,22 @@ def sql_values(name: str, columns: str, rows: Sequence[tuple]) -> str:
     return f"{name}({columns}) AS (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)})"
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str, kinds: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
+    """``doc, seq, <name>``: a document for each user of ``events``, a block for
+    each event, its text one of ``kinds`` by the event's numbers; and ``rows``."""
+    place = F.expr("event_id * 31 + user_id * 17 + event_id div 7 + event_id div 50").cast("long") % len(kinds)
+    kind = F.element_at(F.array(*map(F.lit, kinds)), (place + 1).cast("int"))
+    made = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("doc"), F.col("event_id").cast("long").alias("seq"), kind.alias(name))
+    return made.unionByName(values(spark, f"doc string, seq bigint, {name} string", rows))
+
+
+def sql_stream(name: str, kinds: Sequence[str], rows: Sequence[tuple]) -> str:
+    """The same as a table expression ``s``."""
+    return f"""{sql_values('given', f'doc, seq, {name}', rows)}, s AS (
+  SELECT user_id::VARCHAR AS doc, event_id::BIGINT AS seq, ([{', '.join(map(quoted, kinds))}])[((event_id * 31 + user_id * 17 + event_id // 7 + event_id // 50) % {len(kinds)} + 1)::INTEGER] AS {name} FROM events
+  UNION ALL SELECT * FROM given)"""
+
+
 # ---- rules, by family, over all lines of all documents and the samples
 _SAMPLES = tuple((-1 - i, b) for i, b in enumerate(BLOCKS))
 _LINES_SQL = "SELECT source AS doc, doc_id AS page, unnest(range(0, len(string_split(text, chr(10)))))::INTEGER AS block_no, unnest(string_split(text, chr(10))) AS line FROM documents"
@@ -176,9 +192,12 @@ def license_lines(spark, sf_dir):
 _FOOTERS = tuple((d, i, h) for d, hs in (("a", BLOCKS[:3] + (BLOCKS[72], "<p>x</p>", BLOCKS[72])), ("b", (BLOCKS[72], BLOCKS[73])), ("c", ("<p>© 2020 A. Licensed under X</p>", "<p>© 2021 B. creative commons</p>"))) for i, h in enumerate(hs))
 
 
-@query(f"WITH {sql_values('f', 'doc, seq, html', _FOOTERS)} SELECT doc, arg_min(html, seq) AS html FROM f WHERE {B.is_license_footer.sql('html')} GROUP BY doc HAVING count(*) > 1")
+_FOOTER_KINDS = (*BLOCKS[72:74], "<p>© 2020 A. Licensed under X</p>", "<p>© 2021 B. creative commons</p>", *BLOCKS[:40], "<p>2021 C. Creative Commons</p>")
+
+
+@query(f"WITH {sql_stream('html', _FOOTER_KINDS, _FOOTERS)} SELECT doc, arg_min(html, seq) AS html FROM s WHERE {B.is_license_footer.sql('html')} GROUP BY doc HAVING count(*) > 1")
 def license_footer(spark, sf_dir):
-    return R.license_footers(values(spark, "doc string, seq int, html string", _FOOTERS), "seq")
+    return R.license_footers(stream(spark, sf_dir, "html", _FOOTER_KINDS, _FOOTERS), "seq")
 
 
 def _masked(text: str) -> str:
@@ -229,9 +248,12 @@ def leading_pages(spark, sf_dir):
 _STARTS = tuple((d, i, md) for d, mds in (("a", ("# Cover", "## Abstract\nx", "## Introduction")), ("b", ("x", "y")), ("c", ("# 1. Introduction",)), ("d", ("", "text", "### Introduction and aims"))) for i, md in enumerate(mds))
 
 
-@query(f"WITH {sql_values('p', 'doc, page, md', _STARTS)} SELECT doc, coalesce(min(page) FILTER ({B.is_article_page.sql('md')}), 0) AS first FROM p GROUP BY doc")
+_START_KINDS = ("# Cover", "## Abstract\nx", "text", "### Introduction and aims", "## <b>Abstract</b>", "Abstract", "# 1. Introduction", *["words"] * 60)
+
+
+@query(f"WITH {sql_stream('md', _START_KINDS, _STARTS)} SELECT doc, coalesce(min(seq) FILTER ({B.is_article_page.sql('md')}), 0) AS first FROM s GROUP BY doc")
 def article_start(spark, sf_dir):
-    return R.first_where(values(spark, "doc string, page int, md string", _STARTS), "doc", "page", B.is_article_page.col(F.col("md")))
+    return R.first_where(stream(spark, sf_dir, "md", _START_KINDS, _STARTS), "doc", "seq", B.is_article_page.col(F.col("md")))
 
 
 # ---- neighbours, islands, computed order
@@ -242,10 +264,15 @@ _STREAM = tuple((d, i, h) for d, hs in (
     ("d", ("<h2>References</h2>", "<p>1. Smith J. One.</p>", "<p>2. Roe A. Two.</p>", "<p>words between</p>", "<p>3. Lee B. Three.</p>")),
     ("e", ("<p>1. Not a reference</p>", "<p>[1] Smith</p>", "<p>x</p>")),
 ) for i, h in enumerate(hs))
+_STREAM_KINDS = (
+    "<p>Table 1</p>", "<p>Values of things</p>", "<table><tr><th>A. x</th></tr></table>", "<p>Table 2</p>", "<figure>f</figure>", "<p>Table 5. Title</p>", "<p>text</p>",
+    "<table><caption>Table 9</caption><tr><td>x</td></tr></table>", "<p>1. Smith J. One.</p>", "<p>12. Roe A. Two.</p>", "<p>[3] Lee B. Three.</p>", "<h2>Table 3</h2>",
+    "<table><tr><td>1</td></tr></table>", "<h2>References</h2>", "<p>[1] Smith</p>", "<p>words between</p>", "<p>4. Poe D. Four.</p>",
+)
 
 
 @query(
-    f"""WITH {sql_values('s', 'doc, seq, html', _STREAM)}, n AS (
+    f"""WITH {sql_stream('html', _STREAM_KINDS, _STREAM)}, n AS (
   SELECT *, lead(html) OVER w AS after FROM s WINDOW w AS (PARTITION BY doc ORDER BY seq)
 ), t AS (
   SELECT *, {B.bare_table_label.sql('html')} IS NOT NULL AND coalesce({B.plain_paragraph.sql('after')} IS NOT NULL AND NOT {B.opens_caption.of(B.plain_paragraph).sql('after')}, false) AS takes FROM n
@@ -258,20 +285,19 @@ SELECT doc, seq, CASE WHEN tk THEN '<p>' || regexp_replace({B.bare_table_label.s
 FROM g WHERE NOT taken"""
 )
 def caption_labels(spark, sf_dir):
-    return R.joined_labels(values(spark, "doc string, seq int, html string", _STREAM))
+    return R.joined_labels(stream(spark, sf_dir, "html", _STREAM_KINDS, _STREAM))
 
 
 @query(
-    f"""WITH {sql_values('s', 'doc, seq, html', _STREAM)}, k AS (
+    f"""WITH {sql_stream('html', _STREAM_KINDS, _STREAM)}, k AS (
   SELECT doc, seq, CASE WHEN {B.is_table_caption.sql('html')} THEN 'caption' WHEN {B.is_figure.sql('html')} THEN 'figure'
-    WHEN {B.is_table.sql('html')} AND NOT {B.has_caption_tag.sql('html')} THEN 'table' ELSE 'other' END AS kind FROM s)
-SELECT t.doc, t.seq,
-  (SELECT CASE WHEN kind = 'caption' THEN seq END FROM k WHERE k.doc = t.doc AND k.seq < t.seq AND kind <> 'figure' ORDER BY seq DESC LIMIT 1) AS before,
-  (SELECT CASE WHEN kind = 'caption' THEN seq END FROM k WHERE k.doc = t.doc AND k.seq > t.seq AND kind <> 'figure' ORDER BY seq LIMIT 1) AS after
-FROM k t WHERE kind = 'table'"""
+    WHEN {B.is_table.sql('html')} AND NOT {B.has_caption_tag.sql('html')} THEN 'table' ELSE 'other' END AS kind FROM s
+), b AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY seq) AS place FROM k WHERE kind <> 'figure')
+SELECT t.doc, t.seq, CASE WHEN p.kind = 'caption' THEN p.seq END AS before, CASE WHEN n.kind = 'caption' THEN n.seq END AS after
+FROM b t LEFT JOIN b p ON p.doc = t.doc AND p.place = t.place - 1 LEFT JOIN b n ON n.doc = t.doc AND n.place = t.place + 1 WHERE t.kind = 'table'"""
 )
 def caption_asof(spark, sf_dir):
-    return R.nearest_captions(values(spark, "doc string, seq int, html string", _STREAM))
+    return R.nearest_captions(stream(spark, sf_dir, "html", _STREAM_KINDS, _STREAM))
 
 
 @query(
@@ -286,26 +312,28 @@ def panel_fusion(spark, sf_dir):
 
 
 @query(
-    f"""WITH {sql_values('s', 'doc, seq, html', _STREAM)}, i AS (
+    f"""WITH {sql_stream('html', _STREAM_KINDS, _STREAM)}, i AS (
   SELECT *, coalesce(bool_or({B.is_reference_heading.sql('html')}) OVER (PARTITION BY doc ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AND {B.is_numbered_reference.sql('html')} AS item FROM s
 ), r AS (SELECT *, sum(CASE WHEN item THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY seq) AS run FROM i)
 SELECT doc, min(seq) AS seq, arg_min({B.reference_number.sql('html')}, seq) AS start, string_agg({B.reference_text.sql('html')}, ' / ' ORDER BY seq) AS items FROM r WHERE item GROUP BY doc, run"""
 )
 def numbered_references(spark, sf_dir):
-    return R.gathered_references(values(spark, "doc string, seq int, html string", _STREAM))
+    return R.gathered_references(stream(spark, sf_dir, "html", _STREAM_KINDS, _STREAM))
 
 
-_NOTED = tuple((d, i, h, False) for d, i, h in _STREAM) + tuple((d, 90 + k, f'<p class="footnote">{d}{k}</p>', True) for d in "ade" for k in range(2))
+_NOTED = _STREAM + tuple((d, 90 + k, f'<p class="footnote">{d}{k}</p>') for d in "ade" for k in range(2))
+_NOTED_KINDS = ('<p class="footnote">n</p>', "<p>[1] Smith</p>", *_STREAM_KINDS, *["<p>words</p>"] * 30)
+_NOTE = "<p class=%"
 
 
 @query(
-    f"""WITH {sql_values('s', 'doc, seq, html, note', _NOTED)}, a AS (
+    f"""WITH {sql_stream('html', _NOTED_KINDS, _NOTED)}, m AS (SELECT *, html LIKE '{_NOTE}' AS note FROM s), a AS (
   SELECT *, coalesce(min(seq) FILTER (NOT note AND {B.is_reference_heading.sql('html')}) OVER (PARTITION BY doc),
-    min(seq) FILTER (NOT note AND {B.opens_references.sql('html')}) OVER (PARTITION BY doc), max(seq) OVER (PARTITION BY doc) + 1) AS spot FROM s)
+    min(seq) FILTER (NOT note AND {B.opens_references.sql('html')}) OVER (PARTITION BY doc), max(seq) OVER (PARTITION BY doc) + 1) AS spot FROM m)
 SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY CASE WHEN note THEN spot ELSE seq END, CASE WHEN note THEN 0 ELSE 1 END, seq)::INTEGER AS place, html FROM a"""
 )
 def footnotes_before_references(spark, sf_dir):
-    return R.footnotes_before_references(values(spark, "doc string, seq int, html string, note boolean", _NOTED))
+    return R.footnotes_before_references(stream(spark, sf_dir, "html", _NOTED_KINDS, _NOTED).withColumn("note", F.col("html").like(_NOTE)))
 
 
 @query(
@@ -319,16 +347,18 @@ def reflow_lines(spark, sf_dir):
     return R.reflow_breaks(lines.select(F.col("page").alias("doc"), "block_no", "line"))
 
 
+_MARKED = "translate(CAST(o_orderkey * 7919 + o_custkey AS VARCHAR(30)), '0123456789', '*†‡§¶*†A B')"
 _BYLINES = ((1, "Ann Lee*†, Bo Ray*, Cy Fox†"), (2, "Ann Lee†, Bo Ray*, Cy Fox*, Di Poe†"), (3, "Ann Lee*"), (4, "No marks"), (5, "A‡ B‡ C‡ D* E*"))
 
 
 @query(
-    f"""WITH {sql_values('b', 'id, text', _BYLINES)}, c AS (SELECT id, text[i] AS ch, i AS pos FROM b, unnest(range(1, length(text) + 1)) AS r(i)),
+    f"""WITH {sql_values('given', 'id, text', _BYLINES)}, b AS (SELECT * FROM given UNION ALL SELECT 10 + o_orderkey, {_MARKED} FROM orders), c AS (SELECT id, text[i] AS ch, i AS pos FROM b, unnest(range(1, length(text) + 1)) AS r(i)),
 n AS (SELECT id, ch, count(*) AS n, min(pos) AS first FROM c WHERE ch IN ('*', '†', '‡', '§', '¶') GROUP BY id, ch HAVING count(*) >= 2)
 SELECT id, arg_min(ch, (-n, first)) AS marker FROM n GROUP BY id"""
 )
 def contribution_markers(spark, sf_dir):
-    return R.contribution_markers(values(spark, "id int, text string", _BYLINES), "id", "text")
+    marked = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 10).cast("long").alias("id"), F.expr(_MARKED).alias("text"))
+    return R.contribution_markers(marked.unionByName(values(spark, "id bigint, text string", _BYLINES)), "id", "text")
 
 
 # ---- tables made of order lines

@@ -107,7 +107,9 @@ def meetings(stars: DataFrame, threshold: float) -> DataFrame:
 
     - If the two share any that the head lacks, the first that they share is
       among the first n - q + 1 of one and the first m - q + 1 of the other.
-      As q depends on the other's size, they meet by classes of sizes, too.
+      A pair meets once, as the smaller one (n, and q for m = n at least) and
+      the larger one (m, and q for n = tm at least), so a member has at most
+      n (1 - t) / (1 + t) + 1 and m (1 - t) + 1 rows, whatever the others are.
       Shingles that no other member has take up places, but aren't indexed.
     - If they share none of those, each shares q at least with the head.
     """
@@ -117,37 +119,38 @@ def meetings(stars: DataFrame, threshold: float) -> DataFrame:
     lower = lambda n: n * t * (1 - 1e-9)
     rows, held = stars.agg(F.count("*"), F.coalesce(F.sum(F.size("own")), F.lit(0))).first()
     facts = stars.select("b", "a", "root", "loose", F.col("similarity").alias("sim"), F.col("size").alias("n"), F.size("own").alias("own"), bin_of(F.col("size").cast("double")).alias("bin"))
-    bins = stored(facts.select("b", "bin").distinct(), "bins", rows=rows)
     tokens = stars.select("b", "a", F.explode("own").alias("token"))
     common = stored(tokens.groupBy("b", "token").agg(F.count("*").alias("df")).where("df > 1"), "common", rows=held, each=2_000_000)
     listed = tokens.join(common, ["b", "token"]).groupBy("b", "a").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "token"))), lambda x: x["token"]).alias("tokens"))
-    listed = stored(facts.join(listed, ["b", "a"]).withColumn("alone", F.col("own") - F.size("tokens")), "listed", rows=rows, each=20_000)
+    listed = stored(facts.drop("bin").join(listed, ["b", "a"]).withColumn("alone", F.col("own") - F.size("tokens")), "listed", rows=rows, each=20_000)
 
     def marks(df: DataFrame, side: str, most) -> DataFrame:
         """A row for each of the first ``most`` shingles that others have, with its place."""
         first = F.slice("tokens", 1, F.greatest(most - F.col("alone"), F.lit(0)))
         out = df.select("*", F.posexplode(first).alias("place", "token")).withColumn("place", F.col("place") + F.col("alone") + 1)
-        return out.select("b", "token", "bin", *[F.col(c).alias(f"{c}_{side}") for c in ("a", "root", "loose", "sim", "n", "place")])
+        return out.select("b", "token", *[F.col(c).alias(f"{c}_{side}") for c in ("a", "root", "sim", "n", "place")])
 
     apart = (
         (F.col("root_a") != F.col("root_b"))
         & (F.abs(F.col("sim_a") - F.col("sim_b")) <= 1 - t + 1e-9)
         & (F.greatest("n_a", "n_b") * t <= F.least("n_a", "n_b") + 1e-6)
-        & (~F.col("loose_b") | (F.col("a_a") < F.col("a_b")))
     )
     n = F.col("n")
-    probes = listed.where("loose").drop("bin").join(bins, "b").where((F.col("bin") >= bin_of(lower(n))) & (F.col("bin") <= bin_of(n / t * (1 + 1e-9))))
-    probes = marks(probes, "a", prefix(n, F.greatest(F.exp(F.col("bin") * CLASS) * (1 - 1e-9), n * t)))
-    met = probes.join(marks(listed, "b", prefix(n, n * t)), ["b", "token", "bin"])
-    by_token = met.where(apart & (F.col("place_a") <= prefix(F.col("n_a"), F.col("n_b"))) & (F.col("place_b") <= prefix(F.col("n_b"), F.col("n_a"))))
+    small, large = (lambda df: marks(df, "a", prefix(n, n))), (lambda df: marks(df, "b", prefix(n, n * t)))
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a_a") < F.col("a_b")))
+    agree = apart & ordered & (F.col("place_a") <= prefix(F.col("n_a"), F.col("n_b"))) & (F.col("place_b") <= prefix(F.col("n_b"), F.col("n_a")))
+    sides = ((listed.where("loose"), listed), (listed.where("NOT loose"), listed.where("loose")))
+    by_token = [small(x).join(large(y), ["b", "token"]).where(agree) for x, y in sides]
 
     near = facts.withColumn("c", n - F.col("own")).where(F.col("c") >= lower(n))
     side = lambda df, s: df.select("b", "bin", *[F.col(c).alias(f"{c}_{s}") for c in ("a", "root", "loose", "sim", "n", "c")])
     most = F.greatest(F.col("c") * ((1 + t) / t) - n, n * t) * (1 + 1e-9)
     probes = near.where("loose").withColumn("bin", F.explode(F.sequence(bin_of(lower(n)), bin_of(most))))
-    by_size = side(probes, "a").join(side(near, "b"), ["b", "bin"]).where(apart & (F.least("c_a", "c_b") >= t / (1 + t) * (F.col("n_a") + F.col("n_b")) - 1e-6))
-    out = stored(by_token.select("a_a", "a_b").union(by_size.select("a_a", "a_b")).toDF("a", "b").distinct(), "rest")
-    drop_stored(bins, common, listed)
+    once = ~F.col("loose_b") | (F.col("a_a") < F.col("a_b"))
+    by_size = side(probes, "a").join(side(near, "b"), ["b", "bin"]).where(apart & once & (F.least("c_a", "c_b") >= t / (1 + t) * (F.col("n_a") + F.col("n_b")) - 1e-6))
+    out = [df.select(F.least("a_a", "a_b").alias("a"), F.greatest("a_a", "a_b").alias("b")) for df in (*by_token, by_size)]
+    out = stored(out[0].union(out[1]).union(out[2]).distinct(), "rest")
+    drop_stored(common, listed)
     return out
 
 

@@ -143,6 +143,31 @@ def test_meetings_lose_no_link(spark):
     assert len(met) < len(texts) * (len(texts) - 1) / 4
 
 
+def generated(spark, made):
+    """What ``made()`` yields, and the rows of the ``posexplode`` nodes of the plans that it ran."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before, out, rows = store.executionsCount(), made(), 0
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    for k in range(before, store.executionsCount()):
+        run = store.executionsList().apply(k).executionId()
+        values, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            if "posexplode" in node.desc():
+                found = [m for m in (node.metrics().apply(i) for i in range(node.metrics().size())) if m.name() == "number of output rows"]
+                rows += sum(int(values.apply(m.accumulatorId()).replace(",", "")) for m in found if values.contains(m.accumulatorId()))
+    return out, rows
+
+
+def test_rows_of_the_index_do_not_depend_on_other_sizes(spark):
+    """Members of one head, of sizes all alike and all different: each has rows for its own prefixes only."""
+    shared = random.Random(3)
+    for step in (0, 4):
+        rows = [(i, 0, 0.7, 400 + step * i, shared.sample(range(1000), 150), i, i % 4 > 0) for i in range(1, 61)]
+        stars = spark.createDataFrame(rows, "a bigint, b bigint, similarity double, size bigint, own array<bigint>, root bigint, loose boolean")
+        met, made = generated(spark, lambda stars=stars: N.meetings(stars, 0.8).count())
+        assert 0 < made <= sum(r[3] / 9 + 1 + (r[3] / 5 + 1) * (1 + r[6]) for r in rows)
+
+
 def test_pairs_grow_with_the_cluster(spark, monkeypatch):
     """Copies of one text with edits of their own: comparisons are no square of their number."""
     made = {}
